@@ -56,22 +56,36 @@ def union_history(histories: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
-def volume_daily(history: DataFrame) -> DataFrame:
-    """Runs, rows and mean duration per day and layer."""
-
-    def per_day(rows: DataFrame, layer: str, inserted: Column, updated: Column) -> DataFrame:
-        return rows.groupBy(F.to_date("executed_at").alias("day"), F.lit(layer).alias("layer")).agg(
-            F.count("*").alias("runs"),
-            inserted.alias("rows_inserted"),
-            updated.alias("rows_updated"),
-            F.round(F.avg("duration_s"), 1).alias("mean_duration_s"),
-        )
-
-    silver = per_day(
-        history_silver(history), "silver", F.sum("rows_inserted"), F.sum("rows_updated"))
-    gold = per_day(
-        history_gold(history), "gold", F.sum("rows"), F.lit(None).cast("bigint"))
-    return silver.unionByName(gold)
+def _per_day(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(F.to_date("executed_at").alias("day"), "layer").agg(
+        F.count("*").alias("runs"),
+        F.sum("rows_inserted").alias("rows_inserted"),
+        F.sum("rows_updated").alias("rows_updated"),
+        F.round(F.avg("duration_s"), 1).alias("mean_duration_s"),
+    )
+
+
+def union_layers(silver: DataFrame, gold: DataFrame) -> DataFrame:
+    """Daily volumes of two separate layer histories; gold has no updates (NULL)."""
+    layers = silver.withColumn("layer", F.lit("silver")).unionByName(
+        gold.withColumnRenamed("rows", "rows_inserted").withColumn("layer", F.lit("gold")),
+        allowMissingColumns=True)
+    return _per_day(layers)
+
+
+def volume_daily(history: DataFrame, silver: str = SILVER_TABLE, gold: tuple[str, ...] = GOLD_TABLES):
+    """Runs, rows and mean duration per day and layer, in one pass over the common history."""
+    table, operation = F.col("table"), F.col("operation")
+    merged = (table == silver) & (operation == MERGE_OPERATION)
+    rebuilt = table.isin(*gold) & operation.isin(*REBUILD_OPERATIONS)
+    layers = history.where(merged | rebuilt).select(
+        "executed_at",
+        F.when(merged, "silver").otherwise("gold").alias("layer"),
+        F.when(merged, _metric(INSERTED)).otherwise(_metric(OUTPUT_ROWS)).alias("rows_inserted"),
+        F.when(merged, _metric(UPDATED)).alias("rows_updated"),
+        _duration(),
+    )
+    return _per_day(layers)
 
 
 def volume_monthly(daily: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickline.operators.keys import join_null_safe, names
-from wickline.operators.series import has_group_over, ordered_positions
+from wickline.operators.series import ordered_positions, split_by_size
+from wickline.session import staged
 
 # Up to this many rows a group's distinct values may sit in one aggregation buffer.
 BUFFER_ROWS = 500_000
@@ -20,20 +21,21 @@ def exact_median(
 ) -> DataFrame:
     """Interpolated median of ``col`` per group, NULLs ignored: (by..., name).
 
-    While every group is small the built-in ``percentile`` does it in one aggregate. Otherwise
-    the values are ranked by a range layout and only the middle one or two of each group are kept.
+    Groups of at most ``buffer_rows`` values use the built-in ``percentile``. In larger ones the
+    values are ranked by a range layout and only the middle one or two are kept.
     ``spread``: further columns that tell rows with equal values apart, so that one frequent
     value does not fill a single partition.
     """
     by = names(by)
     values = df.where(F.col(col).isNotNull()).select(*by, col, *spread)
-    if not has_group_over(values, by, buffer_rows):
-        return values.groupBy(*by).agg(F.percentile(col, 0.5).alias(name))
-    ranked = ordered_positions(values, by, [col, *spread], "_rank")
-    sizes = values.groupBy(*by).agg(F.count("*").alias("_n"))
-    ranked = join_null_safe(ranked, sizes, by, "inner")
+    small, large = split_by_size(values, by, buffer_rows)
+    built_in = small.groupBy(*by).agg(F.percentile(col, 0.5).alias(name))
+    if large is None:
+        return built_in
+    sizes = staged(large.groupBy(*by).agg(F.count("*").alias("_n")), "sizes")
+    ranked = join_null_safe(ordered_positions(large, by, [col, *spread], "_rank"), sizes, by, "inner")
     low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
     middle = ranked.where((F.col("_rank") == low) | (F.col("_rank") == high))
     # Same interpolation as percentile at 0.5: half of the lower value plus half of the upper.
-    return middle.groupBy(*by).agg(
-        (F.min(col) * 0.5 + F.max(col) * 0.5).alias(name))
+    return built_in.unionByName(middle.groupBy(*by).agg(
+        (F.min(col) * 0.5 + F.max(col) * 0.5).alias(name)))

@@ -1,11 +1,10 @@
 """Ordered computations over time series, including series too long for one task.
 
 A window ``PARTITION BY symbol`` puts a whole series into one task. ``on_series`` first counts
-the rows per series. While all series are short it uses the plain window: one shuffle, one sort.
-When some series is longer than ``max_rows`` every series is cut into pieces of ``max_rows``
-rows; each piece also receives the last ``halo`` rows of the piece before it, so bounded frames
-see all the rows they need, and the maximum over all earlier pieces travels as one column.
-Both plans give the same values for the same rows.
+the rows per series. Series of at most ``max_rows`` rows use the plain window: one shuffle, one
+sort. Only the longer ones are cut into pieces of ``max_rows`` rows; each piece also receives the
+last ``halo`` rows of the piece before it, so bounded frames see all the rows they need, and the
+maximum over all earlier pieces travels as one column. Both plans give the same values.
 """
 
 from __future__ import annotations
@@ -59,18 +58,30 @@ def ordered_positions(df: DataFrame, by: Sequence[str], order: Sequence[str], na
     laid = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
     laid = staged(laid.withColumn("_row", F.monotonically_increasing_id()), "ordered")
     laid = laid.withColumn("_part", F.shiftright("_row", 33))
-    # At most one row per partition plus one per group: bounded by the layout, not by the data.
+    # At most one row per partition plus one per group. Staged, so that Spark knows its size when
+    # it chooses between a broadcast and a shuffle of the rows.
     parts = laid.groupBy(*by, "_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    starts = staged(
+        parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"), "parts")
     placed = join_null_safe(laid, starts, [*by, "_part"], "inner")
     position = F.col("_before") + F.col("_row") - F.col("_first") + 1
     return placed.withColumn(name, position).drop("_row", "_part", "_first", "_before")
 
 
-def has_group_over(df: DataFrame, by: Sequence[str], rows: int) -> bool:
-    """Whether some ``by`` group has more than ``rows`` rows (one pre-aggregated count)."""
-    return not df.groupBy(*by).count().where(F.col("count") > rows).isEmpty()
+def split_by_size(
+    df: DataFrame, by: Sequence[str], rows: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of groups with at most ``rows`` rows, rows of larger groups or None if there are none).
+
+    Costs one pre-aggregated count. The list of large groups has at most 1/``rows`` as many rows
+    as ``df``; it is staged, so its join is planned by its true size.
+    """
+    large = df.groupBy(*by).count().where(F.col("count") > rows).select(*by)
+    if large.isEmpty():
+        return df, None
+    large = staged(large, "large")
+    return join_null_safe(df, large, by, "left_anti"), join_null_safe(df, large, by, "left_semi")
 
 
 def _cut(df: DataFrame, by: list[str], on: str, halo: int, carry: Sequence[str], max_rows: int):
@@ -87,7 +98,7 @@ def _cut(df: DataFrame, by: list[str], on: str, halo: int, carry: Sequence[str],
         tops = tops.select(
             *by, F.col("_own").alias("_piece"),
             *[F.max(f"_max_{c}").over(before).alias(f"_max_{c}") for c in carry])
-        frame = join_null_safe(frame, tops, [*by, "_piece"], "left")
+        frame = join_null_safe(frame, staged(tops, "tops"), [*by, "_piece"], "left")
         earlier_max = {c: F.col(f"_max_{c}") for c in carry}
     order = Window.partitionBy(*by, "_piece").orderBy("_position")
     return frame, Series(order, F.col("_position"), earlier_max)
@@ -111,12 +122,14 @@ def on_series(
     by = names(by)
     if max_rows <= halo:
         raise ValueError("pieces must be longer than the halo")
-    if not has_group_over(df, by, max_rows):
-        order = Window.partitionBy(*by).orderBy(on)
-        return build(df, Series(order, F.row_number().over(order).cast("bigint")))
-    frame, series = _cut(df, by, on, halo, carry, max_rows)
-    helpers = ["_position", "_own", "_piece", *[f"_max_{c}" for c in carry]]
-    return build(frame, series).where(F.col("_piece") == F.col("_own")).drop(*helpers)
+    short, long = split_by_size(df, by, max_rows)
+    order = Window.partitionBy(*by).orderBy(on)
+    whole = build(short, Series(order, F.row_number().over(order).cast("bigint")))
+    if long is None:
+        return whole
+    frame, series = _cut(long, by, on, halo, carry, max_rows)
+    pieces = build(frame, series).where(F.col("_piece") == F.col("_own"))
+    return whole.unionByName(pieces.select(*whole.columns))
 
 
 def lag_previous(df: DataFrame, col: str = "close", name: str = "prev_close", **series) -> DataFrame:

@@ -67,13 +67,13 @@ def running_max(spark, folder):
 SELECT {_KEY}, n AS row_index, prev_close, top AS close_max, m200 AS close_ma200 FROM raw"""))
 def long_series_windows(spark, folder):
     """The window primitives on series cut into pieces."""
-    rows = _closed(spark, folder)
     return series.on_series(
-        rows, lambda f, s: f.select(
-            "symbol", "day", s.position.alias("row_index"), s.previous("close").alias("prev_close"),
-            s.running_max("close").alias("close_max"), s.mean("close", 200).alias("close_ma200"),
-            *[c for c in ("_piece", "_own") if c in f.columns]),
-        halo=199, carry=["close"], max_rows=SHORT_PIECE)
+        _closed(spark, folder),
+        lambda f, s: f.withColumns({
+            "row_index": s.position, "prev_close": s.previous("close"),
+            "close_max": s.running_max("close"), "close_ma200": s.mean("close", 200)}),
+        halo=199, carry=["close"], max_rows=SHORT_PIECE,
+    ).select("symbol", "day", "row_index", "prev_close", "close_max", "close_ma200")
 
 
 @query("change", S.select(S.RAW, f"SELECT {_KEY}, close, prev_close, {S.CHANGES} FROM lagged"))

@@ -66,6 +66,12 @@ def volume_daily(spark, folder):
     return monitor.volume_daily(market.load_events(spark, folder))
 
 
+@query("union_layers", S.select(S.VOLUMES, "SELECT * FROM volumes"))
+def union_layers(spark, folder):
+    loads = market.load_events(spark, folder)
+    return monitor.union_layers(monitor.history_silver(loads), monitor.history_gold(loads))
+
+
 @query("volume_monthly", S.select(S.VOLUMES, f"""
 SELECT CAST(date_trunc('month', day) AS DATE) AS month_start, layer,
        CAST(sum(runs) AS BIGINT) AS runs, CAST(sum(rows_inserted) AS BIGINT) AS rows_inserted,

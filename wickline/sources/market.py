@@ -28,7 +28,7 @@ def _trade_order() -> Column:
     One decimal instead of a struct: the aggregate then has fixed-width buffers and stays a hash
     aggregate, where a struct would sort every input row by group first.
     """
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    cents = (F.col("l_extendedprice") * 100 + 0.5).cast("bigint")
     within = F.col("l_linenumber") * F.lit(10**14) + cents * 1000 + F.col("l_quantity").cast("bigint")
     return F.col("l_orderkey").cast("decimal(20,0)") * F.lit(10**16).cast(
         "decimal(17,0)") + within.cast("decimal(18,0)")
@@ -36,16 +36,19 @@ def _trade_order() -> Column:
 
 def bronze_candles(spark: SparkSession, folder: str) -> DataFrame:
     """One candle version per (symbol, day, line status), in the bronze schema."""
-    price = F.col("l_extendedprice") / F.col("l_quantity")
-    bars = table(spark, folder, "lineitem").groupBy(
+    trades = table(spark, folder, "lineitem").select(
         F.to_date("l_shipdate").alias("_day"),
         F.col("l_returnflag").alias("symbol_raw"),
         (F.col("l_linestatus") == "F").alias("is_closed"),
-    ).agg(
-        F.min_by(price, _trade_order()).alias("open"),
-        F.max(price).alias("high"),
-        F.min(price).alias("low"),
-        F.max_by(price, _trade_order()).alias("close"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("_price"),
+        _trade_order().alias("_order"),
+        "l_quantity", "l_orderkey",
+    )
+    bars = trades.groupBy("_day", "symbol_raw", "is_closed").agg(
+        F.min_by("_price", "_order").alias("open"),
+        F.max("_price").alias("high"),
+        F.min("_price").alias("low"),
+        F.max_by("_price", "_order").alias("close"),
         F.sum("l_quantity").alias("volume"),
         F.count("*").alias("num_trades"),
         F.max("l_orderkey").alias("_last_order"),
