@@ -66,6 +66,8 @@ def refresh_bronze(
 
 
 def _append_rejects(spark: SparkSession, lake: Lake, cleaned: DataFrame, as_of: datetime) -> None:
+    if cleaned.where(F.col("reason").isNotNull()).isEmpty():
+        return
     stored = read_or_empty(spark, lake.rejects, schemas.REJECT)
     # Staged: the rejects folder cannot be read and appended to in one plan.
     new = staged(store_rejects(stored, cleaned, as_of), "rejects")

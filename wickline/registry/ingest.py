@@ -62,6 +62,7 @@ def normalize_klines(spark, folder):
 SELECT open_time, close_time, open, high, low, close, volume, num_trades, is_closed,
        CASE WHEN is_closed THEN '2000-06-14T12:00:00+00:00' ELSE '2000-06-15T13:47:31+00:00' END
          AS ingest_ts_utc, symbol_raw,
+       CASE WHEN is_closed THEN 'confirmed' ELSE 'open' END AS track,
        CASE WHEN is_closed THEN DATE '2000-06-14' ELSE DATE '2000-06-15' END AS ingest_date
 FROM bronze"""))
 def read_landing(spark, folder):

@@ -12,7 +12,7 @@ from wickline.plans.refresh import read_gold
 from wickline.registry import sql as S
 from wickline.registry.book import query
 from wickline.registry.gold import _MONTHLY
-from wickline.session import fresh_folder, staged
+from wickline.session import fresh_folder
 from wickline.sources import landing, market, tables
 from wickline.streaming import loads
 
@@ -21,12 +21,10 @@ NOW = datetime(2002, 1, 1, tzinfo=timezone.utc)
 
 def _landed_lake(spark, folder) -> Lake:
     lake = Lake(fresh_folder(spark, "lake"))
-    bronze = staged(market.bronze_candles(spark, folder))
-    with_date = bronze.withColumn("ingest_date", F.lit(NOW).cast("date"))
-    for track, rows in ((landing.CONFIRMED, with_date.where("is_closed")),
-                        (landing.OPEN, with_date.where(~F.col("is_closed")))):
-        rows.repartition(2, "open_time").write.partitionBy("ingest_date").parquet(
-            f"{lake.landing}/{track}")
+    track = F.when(F.col("is_closed"), landing.CONFIRMED).otherwise(landing.OPEN)
+    market.bronze_candles(spark, folder).withColumns(
+        {"track": track, "ingest_date": F.lit(NOW).cast("date")}
+    ).repartition(2, "open_time").write.partitionBy("track", "ingest_date").parquet(lake.landing)
     return lake
 
 
@@ -51,7 +49,7 @@ def stream_late_updates(spark, folder):
     """
     lake = _landed_lake(spark, folder)
     loads.stream_late_updates(
-        spark, lake, f"{lake.root}/checkpoint", "s", NOW, files_per_batch=1, protect_closed=True
+        spark, lake, f"{lake.root}/checkpoint", "s", NOW, files_per_batch=2, protect_closed=True
     ).awaitTermination()
     return tables.read_table(spark, lake.silver, schemas.SILVER).drop("transformed_at")
 

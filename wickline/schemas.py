@@ -26,7 +26,11 @@ BRONZE = T.StructType([
     _col("symbol_raw", T.StringType(), "symbol as received"),
 ])
 
-LANDING = T.StructType([*BRONZE.fields, _col("ingest_date", T.DateType(), "landing partition")])
+LANDING = T.StructType([
+    *BRONZE.fields,
+    _col("track", T.StringType(), "confirmed or open"),
+    _col("ingest_date", T.DateType(), "day of the load"),
+])
 
 SILVER = T.StructType([
     _col("symbol", T.StringType(), "traded pair, trimmed upper case", nullable=False),

@@ -1,7 +1,7 @@
-"""Landing folder: Parquet partitioned by ingest date, one sub-folder per track.
+"""Landing folder: Parquet partitioned by track and ingest date.
 
-``confirmed`` only grows. ``open`` holds the current state of the running candles: each ingest
-date's part is replaced as a whole.
+The confirmed track only grows. The open track holds the current state of the running candles:
+each ingest date's part is replaced as a whole.
 """
 
 from __future__ import annotations
@@ -33,28 +33,25 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.createDataFrame([], schema) if found is None else found
 
 
-def _with_ingest_date(df: DataFrame) -> DataFrame:
+def _landed(df: DataFrame, track: str) -> DataFrame:
     day = F.to_date(F.try_to_timestamp("ingest_ts_utc"))
-    return df.select(*schemas.BRONZE.fieldNames()).withColumn("ingest_date", day)
+    return df.select(*schemas.BRONZE.fieldNames()).withColumns(
+        {"track": F.lit(track), "ingest_date": day})
 
 
 def write_landing_confirmed(df: DataFrame, path: str) -> None:
     """Append closed candles under their ingest date."""
-    _with_ingest_date(df).write.mode("append").option("compression", "snappy").partitionBy(
-        "ingest_date").parquet(f"{path}/{CONFIRMED}")
+    _landed(df, CONFIRMED).write.mode("append").option("compression", "snappy").partitionBy(
+        "track", "ingest_date").parquet(path)
 
 
 def write_landing_open(df: DataFrame, path: str) -> None:
     """Replace the open candles of the ingest dates present in ``df``; other dates stay."""
-    _with_ingest_date(df).write.mode("overwrite").option("compression", "snappy").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("ingest_date").parquet(f"{path}/{OPEN}")
+    _landed(df, OPEN).write.mode("overwrite").option("compression", "snappy").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("track", "ingest_date").parquet(path)
 
 
 def read_landing(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
-    """Both tracks in the bronze schema plus ``ingest_date``; ``since`` prunes partitions."""
-    tracks = [read_or_none(spark, f"{path}/{track}", schemas.LANDING) for track in (CONFIRMED, OPEN)]
-    found = [track for track in tracks if track is not None]
-    if not found:
-        return spark.createDataFrame([], schemas.LANDING)
-    rows = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    """Both tracks in the bronze schema plus the partitions; ``since`` prunes ingest dates."""
+    rows = read_or_empty(spark, path, schemas.LANDING)
     return rows if since is None else rows.where(F.col("ingest_date") >= F.lit(since))

@@ -17,17 +17,15 @@ from wickline import schemas
 from wickline.plans.lake import Lake
 from wickline.plans.refresh import refresh_bronze, refresh_gold, refresh_silver
 from wickline.session import staged
-from wickline.sources.landing import CONFIRMED, OPEN
 
 
 def _landed(spark: SparkSession, lake: Lake, files_per_batch: int) -> DataFrame:
-    """Both tracks of the landing folder as one stream."""
-    tracks = [
+    """Landed files as a stream. An open file that was replaced before it was read may be missing;
+    its replacement is a new file of the stream."""
+    return (
         spark.readStream.schema(schemas.LANDING).option("maxFilesPerTrigger", files_per_batch)
-        .parquet(f"{lake.landing}/{track}")
-        for track in (CONFIRMED, OPEN)
-    ]
-    return tracks[0].unionByName(tracks[1])
+        .option("ignoreMissingFiles", "true").parquet(lake.landing)
+    )
 
 
 def _run(
