@@ -103,3 +103,16 @@ def test_one_hot_series_among_many_short_ones(spark):
     got = made.groupBy("symbol").agg(F.count("*").alias("n"), F.sum("row_index").alias("t"))
     assert got.where("t <> n * (n + 1) / 2").count() == 0
     assert made.where("symbol = 'hot' AND row_index <> id + 1").count() == 0
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(start=st.integers(0, 259), peak=st.integers(0, 259))
+def test_tail_equals_the_full_rebuild(spark, start, peak):
+    closes = [100 + (i * 7) % 13 / 4 + (50 if i == peak else 0) for i in range(260)]
+    rows = silver(spark, closes).unionByName(silver(spark, closes[:40], symbol="BBB"))
+    day = rows.where("symbol = 'AAA'").orderBy("day").collect()[start].day
+    since = spark.createDataFrame([("AAA", day)], "symbol string, since date")
+    full = I.daily_indicators(rows)
+    tail = I.daily_tail(rows, full, since)
+    expected = full.where((F.col("symbol") == "AAA") & (F.col("day") >= F.lit(day)))
+    assert sorted(map(tuple, tail.collect())) == sorted(map(tuple, expected.collect()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wickline.functions import candle as C
@@ -18,6 +18,8 @@ GATED_SPANS = (30, 50, 200)
 TREND_FAST, TREND_SLOW = 50, 200
 VOLATILITY_ROWS = 30
 VOLUME_ROWS = 30
+# Earlier rows that the widest frame reaches.
+HALO = max(MA_SPANS) - 1
 
 
 def closed_candles(silver: DataFrame) -> DataFrame:
@@ -158,32 +160,68 @@ DAILY_COLUMNS = (
 )
 
 
-def daily_indicators(
-    silver: DataFrame,
-    as_of: datetime | None = None,
-    weekdays: tuple[str, ...] = WEEKDAYS_EN,
-    labels: tuple[str, str] = C.UP_DOWN,
-    **series,
+def _daily(
+    rows: DataFrame, weekdays: tuple[str, ...], labels: tuple[str, str], **series
 ) -> DataFrame:
-    """Every indicator of every closed candle: one shuffle and one sort for all the windows."""
+    """Daily columns of ``rows``, whose ``_seen`` is the highest close known at each row."""
 
     def build(frame: DataFrame, s: Series) -> DataFrame:
         return _with_log_return(frame, s).withColumns({
             **{f"ma{n}": _average(s, "close", n, n in GATED_SPANS) for n in MA_SPANS},
             f"trend_ma{TREND_FAST}_ma{TREND_SLOW}": _trend(s, TREND_FAST, TREND_SLOW, labels),
             "vol_30d_annual_pct": _volatility(s, VOLATILITY_ROWS, C.DAYS_PER_YEAR),
-            "_top": s.running_max("close"),
+            "_top": s.running_max("_seen"),
             "_volume_mean": s.mean("volume", VOLUME_ROWS),
         })
 
-    wide = on_series(
-        closed_candles(silver), build, halo=max(MA_SPANS) - 1, carry=["close"], **series)
+    wide = on_series(rows, build, halo=HALO, carry=["_seen"], **series)
     wide = wide.withColumns({
         **_changes(),
         **_drawdowns(F.col("_top")),
         **_relative_volume(F.col("_volume_mean")),
     })
-    wide = calendar_columns(
+    return calendar_columns(
         candle_type(volume_per_trade(quote_volume_est(range_pct(wide))), labels), weekdays)
-    daily = wide.select(*DAILY_COLUMNS)
+
+
+def _stamped(daily: DataFrame, as_of: datetime | None) -> DataFrame:
+    daily = daily.select(*DAILY_COLUMNS)
     return daily if as_of is None else daily.withColumn("transformed_at", F.lit(as_of))
+
+
+def daily_indicators(
+    silver: DataFrame,
+    as_of: datetime | None = None,
+    weekdays: tuple[str, ...] = WEEKDAYS_EN,
+    labels: tuple[str, str] = C.UP_DOWN,
+    **series,
+) -> DataFrame:
+    """Every indicator of every closed candle: one shuffle and one sort for all the windows."""
+    rows = closed_candles(silver).withColumn("_seen", F.col("close"))
+    return _stamped(_daily(rows, weekdays, labels, **series), as_of)
+
+
+def daily_tail(
+    silver: DataFrame,
+    stored: DataFrame,
+    since: DataFrame,
+    as_of: datetime | None = None,
+    weekdays: tuple[str, ...] = WEEKDAYS_EN,
+    labels: tuple[str, str] = C.UP_DOWN,
+    **series,
+) -> DataFrame:
+    """The rows of ``daily_indicators`` from ``since`` on, computed from those rows only.
+
+    ``since`` has (symbol, since): the first changed day of each changed symbol; earlier rows do
+    not change. ``stored`` is the daily table before the change. Its last rows before ``since``
+    fill the frames (each map task sends at most that many per symbol), and its running maximum
+    stands for all the history before them.
+    """
+    new = closed_candles(silver).join(since, "symbol").where(F.col("day") >= F.col("since"))
+    latest = Window.partitionBy("symbol").orderBy(F.col("day").desc())
+    context = stored.join(since, "symbol").where(F.col("day") < F.col("since"))
+    context = context.withColumn("_back", F.row_number().over(latest)).where(F.col("_back") <= HALO)
+    inputs = ["symbol", "day", "open", "high", "low", "close", "volume", "num_trades"]
+    rows = new.select(*inputs, F.col("close").alias("_seen"), F.lit(True).alias("_new")).unionByName(
+        context.select(*inputs, F.col("running_max_close").alias("_seen"), F.lit(False).alias("_new")))
+    return _stamped(_daily(rows, weekdays, labels, **series).where("_new"), as_of)

@@ -157,6 +157,18 @@ def daily_indicators_long_series(spark, folder):
     return _steady(indicators.daily_indicators(_silver(spark, folder), max_rows=SHORT_PIECE))
 
 
+@query("daily_tail", S.select(S.DAILY, f"""
+SELECT * REPLACE ({S.rounded('log_return', 10)} AS log_return) FROM daily
+WHERE (symbol = 'A' AND day >= DATE '2001-06-15') OR (symbol = 'N' AND day >= DATE '1995-03-01')"""))
+def daily_tail(spark, folder):
+    """Tail of two series recomputed from the stored daily table and the silver rows since then."""
+    silver, stored = _stored_daily(spark, folder)
+    since = silver.groupBy("symbol").agg(
+        F.when(F.col("symbol") == "A", F.lit("2001-06-15")).when(
+            F.col("symbol") == "N", F.lit("1995-03-01")).cast("date").alias("since"))
+    return _steady(indicators.daily_tail(silver, stored, since.where("since IS NOT NULL")))
+
+
 @query("filter_not_null", S.select(S.DAILY, f"""
 SELECT {_KEY}, change_pct FROM daily WHERE change_pct IS NOT NULL"""))
 def filter_not_null(spark, folder):
