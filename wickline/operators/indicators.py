@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wickline.functions import candle as C
 from wickline.functions.clock import WEEKDAYS_EN, calendar
+from wickline.operators.keys import attach
 from wickline.operators.series import Series, on_series
 
 # Spans in rows, and the history each gated value needs.
@@ -217,9 +218,10 @@ def daily_tail(
     fill the frames (each map task sends at most that many per symbol), and its running maximum
     stands for all the history before them.
     """
-    new = closed_candles(silver).join(since, "symbol").where(F.col("day") >= F.col("since"))
-    latest = Window.partitionBy("symbol").orderBy(F.col("day").desc())
-    context = stored.join(since, "symbol").where(F.col("day") < F.col("since"))
+    day = F.col("day")
+    new = attach(closed_candles(silver), since, "symbol", day).where(day >= F.col("since"))
+    latest = Window.partitionBy("symbol").orderBy(day.desc())
+    context = attach(stored, since, "symbol", day).where(day < F.col("since"))
     context = context.withColumn("_back", F.row_number().over(latest)).where(F.col("_back") <= HALO)
     inputs = ["symbol", "day", "open", "high", "low", "close", "volume", "num_trades"]
     rows = new.select(*inputs, F.col("close").alias("_seen"), F.lit(True).alias("_new")).unionByName(

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from wickline import schemas
 from wickline.functions.clock import safe_cutoff
-from wickline.operators.keys import join_null_safe, names
+from wickline.operators.keys import attach, names
 from wickline.operators.merge import dedup_latest, merge_upsert, split_null_keys
+from wickline.session import staged
 
 # Field order of one kline array.
 KLINE_FIELDS = (
@@ -83,18 +84,25 @@ def confirmed_slice(
 ) -> DataFrame:
     """Closed candles not loaded yet: open time in [mark, cutoff).
 
-    ``mark`` has one row per series and is left to Spark's own size-based join choice; a series
-    unknown to it starts at ``default``.
+    ``mark`` has one row per series; a series unknown to it starts at ``default``.
     """
-    marked = join_null_safe(src, mark, names(by), "left")
+    marked = attach(src, mark, by, F.col("open_time"), "left")
     start = F.coalesce("mark", F.lit(default))
     return marked.where((F.col("open_time") >= start) & (F.col("open_time") < cutoff)).drop("mark")
 
 
 def open_slice(src: DataFrame, as_of: datetime, by: str | Sequence[str] = "symbol_raw") -> DataFrame:
-    """The most recent candle of each series, if it has not closed at ``as_of``."""
-    latest = dedup_latest(src, by, ["open_time"])
-    return latest.where(F.col("close_time") > F.lit(as_of))
+    """The most recent candle of each series, if it has not closed at ``as_of``.
+
+    The latest open time needs two columns of ``src``; the candles themselves are read with the
+    closing time pushed into the scan.
+    """
+    by = names(by)
+    latest = src.groupBy(*by).agg(F.max("open_time").alias("_latest"))
+    running = src.where(F.col("close_time") > F.lit(as_of))
+    running = attach(running, latest, by, F.col("open_time"))
+    running = running.where(F.col("open_time") == F.col("_latest")).drop("_latest")
+    return dedup_latest(running, by, ["open_time"])
 
 
 def stamp_lineage(
@@ -132,5 +140,5 @@ def incremental_load(
     reload.
     """
     rows, _ = split_null_keys(both_tracks(src, bronze, as_of, interval), BRONZE_KEYS)
-    source = dedup_latest(rows, BRONZE_KEYS, BRONZE_ORDER)
+    source = staged(dedup_latest(rows, BRONZE_KEYS, BRONZE_ORDER), "load")
     return merge_upsert(bronze, source, BRONZE_KEYS, small_source)

@@ -15,27 +15,36 @@ from wickline.session import staged
 BUFFER_ROWS = 500_000
 
 
+def ranked_median(
+    values: DataFrame, by: Sequence[str], col: str, name: str, spread: Sequence[str] = ()
+) -> DataFrame:
+    """Median of large groups: the values are ranked by a range layout, the middle ones kept.
+
+    ``spread``: further columns that tell rows with equal values apart, so that one frequent
+    value does not fill a single partition.
+    """
+    values = values.where(F.col(col).isNotNull()).select(*by, col, *spread)
+    sizes = staged(values.groupBy(*by).agg(F.count("*").alias("_n")), "sizes")
+    ranked = join_null_safe(ordered_positions(values, by, [col, *spread], "_rank"), sizes, by, "inner")
+    low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    middle = ranked.where((F.col("_rank") == low) | (F.col("_rank") == high))
+    # Same interpolation as percentile at 0.5: half of the lower value plus half of the upper.
+    return middle.groupBy(*by).agg((F.min(col) * 0.5 + F.max(col) * 0.5).alias(name))
+
+
 def exact_median(
     df: DataFrame, by: str | Sequence[str], col: str, name: str, spread: Sequence[str] = (),
     buffer_rows: int = BUFFER_ROWS,
 ) -> DataFrame:
     """Interpolated median of ``col`` per group, NULLs ignored: (by..., name).
 
-    Groups of at most ``buffer_rows`` values use the built-in ``percentile``. In larger ones the
-    values are ranked by a range layout and only the middle one or two are kept.
-    ``spread``: further columns that tell rows with equal values apart, so that one frequent
-    value does not fill a single partition.
+    Groups of at most ``buffer_rows`` values use the built-in ``percentile``, larger ones
+    ``ranked_median``.
     """
     by = names(by)
     values = df.where(F.col(col).isNotNull()).select(*by, col, *spread)
     small, large = split_by_size(values, by, buffer_rows)
-    built_in = small.groupBy(*by).agg(F.percentile(col, 0.5).alias(name))
+    medians = small.groupBy(*by).agg(F.percentile(col, 0.5).alias(name))
     if large is None:
-        return built_in
-    sizes = staged(large.groupBy(*by).agg(F.count("*").alias("_n")), "sizes")
-    ranked = join_null_safe(ordered_positions(large, by, [col, *spread], "_rank"), sizes, by, "inner")
-    low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
-    middle = ranked.where((F.col("_rank") == low) | (F.col("_rank") == high))
-    # Same interpolation as percentile at 0.5: half of the lower value plus half of the upper.
-    return built_in.unionByName(middle.groupBy(*by).agg(
-        (F.min(col) * 0.5 + F.max(col) * 0.5).alias(name)))
+        return medians
+    return medians.unionByName(ranked_median(large, by, col, name, spread))

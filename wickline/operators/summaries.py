@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 
 from wickline.functions import candle as C
 from wickline.functions.clock import month_start
-from wickline.operators.keys import join_null_safe
-from wickline.operators.quantile import BUFFER_ROWS, exact_median
-
-# Copies of the per-symbol reference row in joins with the daily rows of that symbol.
-SALTS = 16
+from wickline.operators.keys import attach, join_null_safe
+from wickline.operators.quantile import BUFFER_ROWS, ranked_median
+from wickline.operators.series import split_by_size
 
 
 def monthly_summary(daily: DataFrame) -> DataFrame:
@@ -44,32 +42,30 @@ def monthly_summary(daily: DataFrame) -> DataFrame:
 def weekday_seasonality(daily: DataFrame, buffer_rows: int = BUFFER_ROWS) -> DataFrame:
     """Behaviour per symbol and weekday over the whole history, without each series' first row."""
     by = ["symbol", "weekday_num", "weekday"]
-    rows = daily.where(F.col("change_pct").isNotNull())
     up = F.try_divide(F.count_if(F.col("change_pct") > 0), F.count("*")) * 100
-    means = rows.groupBy(*by).agg(
+    measures = [
         F.count("*").alias("days"),
         F.round(F.avg("change_pct"), 3).alias("mean_return_pct"),
         F.round(up, 1).alias("up_days_pct"),
         F.round(F.avg("range_pct"), 3).alias("mean_range_pct"),
         F.round(F.avg("volume"), 2).alias("mean_volume"),
-    )
-    median = exact_median(rows, by, "change_pct", "_median", ["day"], buffer_rows)
-    return join_null_safe(means, median, by, "left").select(
+    ]
+    rows = daily.where(F.col("change_pct").isNotNull())
+    small, large = split_by_size(rows, by, buffer_rows)
+    result = small.groupBy(*by).agg(*measures, F.percentile("change_pct", 0.5).alias("_median"))
+    if large is not None:
+        medians = ranked_median(large, by, "change_pct", "_median", ["day"])
+        result = result.unionByName(
+            join_null_safe(large.groupBy(*by).agg(*measures), medians, by, "left"))
+    return result.select(
         *by, "days", "mean_return_pct", F.round("_median", 3).alias("median_return_pct"),
         "up_days_pct", "mean_range_pct", "mean_volume")
 
 
 def join_ref_date(daily: DataFrame, *extra: Column) -> DataFrame:
-    """Attach each symbol's last day, ``ref_day`` (and further per-symbol aggregates), to its rows.
-
-    The reference has one row per symbol. It is not hinted: Spark broadcasts it when its size
-    allows. Otherwise the join key carries a salt, so a symbol with very many rows is spread
-    over ``SALTS`` tasks.
-    """
+    """Attach each symbol's last day, ``ref_day`` (and further per-symbol aggregates), to its rows."""
     ref = daily.groupBy("symbol").agg(F.max("day").alias("ref_day"), *extra)
-    ref = ref.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = daily.withColumn("_salt", F.pmod(F.unix_date("day"), F.lit(SALTS)))
-    return salted.join(ref, ["symbol", "_salt"]).drop("_salt")
+    return attach(daily, ref, "symbol", F.col("day"))
 
 
 def _last_until(col: str, reached: Column) -> Column:

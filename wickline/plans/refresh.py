@@ -9,7 +9,6 @@ import time
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wickline import schemas
 from wickline.operators.indicators import daily_indicators
@@ -20,7 +19,7 @@ from wickline.operators.merge import (
 )
 from wickline.operators.monitor import GOLD_TABLES, MERGE_OPERATION, REBUILD_OPERATIONS, SILVER_TABLE
 from wickline.operators.quality import (
-    clean_candles, quality_reason, silver_rows, store_rejects, typed_candles,
+    clean_candles, quality_reason, silver_rows, split_valid_rejected, store_rejects, typed_candles,
 )
 from wickline.operators.summaries import kpi_snapshot, monthly_summary, weekday_seasonality
 from wickline.plans.lake import Lake
@@ -66,12 +65,14 @@ def refresh_bronze(
 
 
 def _append_rejects(spark: SparkSession, lake: Lake, cleaned: DataFrame, as_of: datetime) -> None:
-    if cleaned.where(F.col("reason").isNotNull()).isEmpty():
+    _, rejected = split_valid_rejected(cleaned)
+    if rejected.isEmpty():
         return
+    # One row per key before the join, however often a faulty row was received.
+    once = dedup_latest(rejected, ["symbol", "open_time", "ingest_ts"], ["reason"])
     stored = read_or_empty(spark, lake.rejects, schemas.REJECT)
     # Staged: the rejects folder cannot be read and appended to in one plan.
-    new = staged(store_rejects(stored, cleaned, as_of), "rejects")
-    new.dropDuplicates(["symbol", "open_time", "ingest_ts"]).write.mode("append").parquet(lake.rejects)
+    staged(store_rejects(stored, once, as_of), "rejects").write.mode("append").parquet(lake.rejects)
 
 
 def refresh_silver(
@@ -130,7 +131,3 @@ def read_gold(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
 def silver_of(bronze: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Silver rows of a first load, without storing anything."""
     return silver_rows(clean_candles(bronze), as_of)
-
-
-def open_rows(silver: DataFrame) -> DataFrame:
-    return silver.where(~F.col("is_closed"))
