@@ -26,6 +26,11 @@ def _closed(spark: SparkSession, folder: str) -> DataFrame:
     return indicators.closed_candles(_silver(spark, folder))
 
 
+def _closed_once(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows, not stored: for row-level operators, which read them once."""
+    return indicators.closed_candles(silver_rows(clean_candles(market.bronze_candles(spark, folder))))
+
+
 def _steady(df: DataFrame) -> DataFrame:
     """Logarithms and sums differ between engines in the last bits; compare ten digits."""
     return df.withColumn("log_return", F.round("log_return", 10))
@@ -89,29 +94,29 @@ def log_return(spark, folder):
 
 @query("range_pct", S.select(S.CLOSED, f"SELECT {_KEY}, {S.RANGE} FROM base"))
 def range_pct(spark, folder):
-    return indicators.range_pct(_closed(spark, folder)).select("symbol", "day", "range_pct")
+    return indicators.range_pct(_closed_once(spark, folder)).select("symbol", "day", "range_pct")
 
 
 @query("quote_volume_est", S.select(S.CLOSED, f"SELECT {_KEY}, {S.QUOTE} FROM base"))
 def quote_volume_est(spark, folder):
-    return indicators.quote_volume_est(_closed(spark, folder)).select(
+    return indicators.quote_volume_est(_closed_once(spark, folder)).select(
         "symbol", "day", "quote_volume_est")
 
 
 @query("volume_per_trade", S.select(S.CLOSED, f"SELECT {_KEY}, {S.PER_TRADE} FROM base"))
 def volume_per_trade(spark, folder):
-    return indicators.volume_per_trade(_closed(spark, folder)).select(
+    return indicators.volume_per_trade(_closed_once(spark, folder)).select(
         "symbol", "day", "volume_per_trade")
 
 
 @query("candle_type", S.select(S.CLOSED, f"SELECT {_KEY}, {S.KIND} FROM base"))
 def candle_type(spark, folder):
-    return indicators.candle_type(_closed(spark, folder)).select("symbol", "day", "candle_type")
+    return indicators.candle_type(_closed_once(spark, folder)).select("symbol", "day", "candle_type")
 
 
 @query("calendar_columns", S.select(S.CLOSED, f"SELECT {_KEY}, {S.CALENDAR} FROM base"))
 def calendar_columns(spark, folder):
-    return indicators.calendar_columns(_closed(spark, folder).select("symbol", "day"))
+    return indicators.calendar_columns(_closed_once(spark, folder).select("symbol", "day"))
 
 
 @query("moving_averages", S.select(S.RAW, f"SELECT {_KEY}, {S.AVERAGES} FROM raw"))
@@ -157,16 +162,15 @@ def daily_indicators_long_series(spark, folder):
     return _steady(indicators.daily_indicators(_silver(spark, folder), max_rows=SHORT_PIECE))
 
 
-@query("daily_tail", S.select(S.DAILY, f"""
-SELECT * REPLACE ({S.rounded('log_return', 10)} AS log_return) FROM daily
-WHERE (symbol = 'A' AND day >= DATE '2001-06-15') OR (symbol = 'N' AND day >= DATE '1995-03-01')"""))
+@query("daily_tail", S.select(S.DAILY + """,
+changed AS (SELECT symbol, max(day) - 60 AS since FROM silver GROUP BY symbol)""", f"""
+SELECT daily.* REPLACE ({S.rounded('log_return', 10)} AS log_return)
+FROM daily JOIN changed USING (symbol) WHERE day >= since"""))
 def daily_tail(spark, folder):
-    """Tail of two series recomputed from the stored daily table and the silver rows since then."""
+    """The last 60 days of every series, recomputed from the stored daily table and silver."""
     silver, stored = _stored_daily(spark, folder)
-    since = silver.groupBy("symbol").agg(
-        F.when(F.col("symbol") == "A", F.lit("2001-06-15")).when(
-            F.col("symbol") == "N", F.lit("1995-03-01")).cast("date").alias("since"))
-    return _steady(indicators.daily_tail(silver, stored, since.where("since IS NOT NULL")))
+    since = silver.groupBy("symbol").agg(F.date_sub(F.max("day"), 60).alias("since"))
+    return _steady(indicators.daily_tail(silver, stored, since))
 
 
 @query("filter_not_null", S.select(S.DAILY, f"""
@@ -364,7 +368,7 @@ def top_k(spark, folder):
 
 @query("sort_asc", S.select(S.CLOSED, "SELECT symbol, day, close FROM base ORDER BY day, symbol"))
 def sort_asc(spark, folder):
-    return _closed(spark, folder).select("symbol", "day", "close").orderBy("day", "symbol")
+    return _closed_once(spark, folder).select("symbol", "day", "close").orderBy("day", "symbol")
 
 
 @query("replace_table", S.select(S.DAILY, f"""

@@ -59,5 +59,5 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
 
 
 def fits(df: DataFrame, rows: int) -> bool:
-    """True when ``df`` has at most ``rows`` rows. Counts no further than ``rows + 1``."""
-    return df.limit(rows + 1).count() <= rows
+    """True when ``df`` has at most ``rows`` rows (a pre-aggregated count, cheap on staged tables)."""
+    return df.count() <= rows

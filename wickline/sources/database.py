@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str]) -> DataFrame:
-    return spark.read.jdbc(url, table, properties=properties)
+def read_jdbc(
+    spark: SparkSession, url: str, table: str, properties: dict[str, str], **partitioning
+) -> DataFrame:
+    """``partitioning``: column, lowerBound, upperBound and numPartitions of a parallel read."""
+    return spark.read.jdbc(url, table, properties=properties, **partitioning)
 
 
 def append_jdbc(rows: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
