@@ -1,6 +1,6 @@
 """The three refreshes. Each is idempotent and leaves one row per written table in the history.
 
-Times are arguments: a refresh never reads the clock for a value it stores.
+Times stored in the tables are arguments; only the load history takes its times from the clock.
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ def refresh_bronze(
         keys=BRONZE_KEYS, time_col="open_time", run_id=run_id, grain=grain,
         update_when=later_version(BRONZE_ORDER, schemas.BRONZE.fieldNames()))
     record_load(spark, lake.history, "bronze", MERGE_OPERATION,
-                {**counts, DURATION_MS: _milliseconds(began)}, as_of)
+                {**counts, DURATION_MS: _milliseconds(began)})
     return counts
 
 
@@ -95,7 +95,7 @@ def refresh_silver(
         keys=["symbol", "day"], time_col="day", run_id=run_id, update_when=rule,
         grain=grain)
     record_load(spark, lake.history, SILVER_TABLE, MERGE_OPERATION,
-                {**counts, DURATION_MS: _milliseconds(began)}, as_of)
+                {**counts, DURATION_MS: _milliseconds(began)})
     return counts
 
 
@@ -116,8 +116,7 @@ def refresh_gold(spark: SparkSession, lake: Lake, run_id: str, as_of: datetime)
         built[name] = spark.read.parquet(folder)
         record_load(
             spark, lake.history, name, REBUILD_OPERATIONS[0],
-            {OUTPUT_ROWS: built[name].count(), DURATION_MS: _milliseconds(began), LOCATION: folder},
-            as_of)
+            {OUTPUT_ROWS: built[name].count(), DURATION_MS: _milliseconds(began), LOCATION: folder})
     return built
 
 
