@@ -136,6 +136,15 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mix(total + np.uint64(k))
 
 
+def grams_at(words: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
+    """``gram_hashes`` at the given positions only."""
+    with np.errstate(over="ignore"):
+        total = np.zeros(len(starts), np.uint64)
+        for i in range(k):
+            total = total * _MULTIPLIER + words[starts + i]
+    return mix(total + np.uint64(k))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """The same 64 bits as the BIGINT that Spark stores."""
     return x.view(np.int64)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from wickline.llm import lines, secrets, shards
+from wickline.llm import bpe, contamination, lines, secrets, shards
 
 QUERIES = {
+    "op2_decontamination": contamination.query,
     "op4_sharding": shards.query,
     "op6_secrets": secrets.query,
     "op7_line_dedup": lines.query,
+    "op10_bpe": bpe.query,
 }
 
 CHECKS = {
+    "op2_decontamination": contamination.CHECK,
     "op4_sharding": shards.CHECK,
     "op7_line_dedup": lines.CHECK,
 }
