@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wickline.llm import lines
+from wickline.llm import bpe, contamination, lines, toxicity
 from wickline.llm.common import table
 from wickline.session import staged
 
 STAGES = [
+    ("toxicity", toxicity.stage),
     ("line_dedup", lines.stage),
+    ("decontamination", contamination.stage),
+    ("bpe", bpe.stage),
 ]
 
 # Two stages are trained and one counts tokens, which SQL cannot express.

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from wickline.llm import bpe, contamination, lines, secrets, shards
+from wickline.llm import bpe, contamination, lines, quality, secrets, shards, toxicity
 
 QUERIES = {
+    "op1_quality": quality.query,
     "op2_decontamination": contamination.query,
     "op4_sharding": shards.query,
+    "op5_toxicity": toxicity.query,
     "op6_secrets": secrets.query,
     "op7_line_dedup": lines.query,
     "op10_bpe": bpe.query,
