@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from wickline.llm import bpe, contamination, lines, quality, secrets, shards, toxicity
+from wickline.llm import archives, bpe, contamination, lines, quality, secrets, shards, topk, toxicity
 
 QUERIES = {
     "op1_quality": quality.query,
     "op2_decontamination": contamination.query,
+    "op3_top_k": topk.query,
     "op4_sharding": shards.query,
     "op5_toxicity": toxicity.query,
     "op6_secrets": secrets.query,
     "op7_line_dedup": lines.query,
+    "op8_warc": archives.query,
     "op10_bpe": bpe.query,
 }
 
 CHECKS = {
     "op2_decontamination": contamination.CHECK,
+    "op3_top_k": topk.CHECK,
     "op4_sharding": shards.CHECK,
     "op7_line_dedup": lines.CHECK,
+    "op8_warc": archives.CHECK,
 }
