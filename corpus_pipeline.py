@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wickline.llm import bpe, contamination, lines, toxicity
+from wickline.llm import bpe, contamination, lines, neardup, toxicity
 from wickline.llm.common import table
 from wickline.session import staged
 
 STAGES = [
     ("toxicity", toxicity.stage),
     ("line_dedup", lines.stage),
+    ("jaccard_join", neardup.stage),
     ("decontamination", contamination.stage),
     ("bpe", bpe.stage),
 ]

@@ -23,7 +23,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
-from wickline.llm.common import map_arrow, prepared, span_hashes, spans, table, utf8
+from wickline.llm.common import map_arrow, prepared, sliced, span_hashes, table, utf8
 
 # Bytes of text whose pieces are encoded together. Bounds the memory of a task, whatever the texts;
 # a longer single text is still taken whole.
@@ -301,19 +301,6 @@ def coder(path: str) -> Coder:
     return _coders[path]
 
 
-def sliced(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
-    """Consecutive batches put together up to about ``size`` bytes."""
-    held, total = [], 0
-    for batch in batches:
-        held.append(batch)
-        total += batch.nbytes
-        if total >= size:
-            yield pa.Table.from_batches(held).combine_chunks()
-            held, total = [], 0
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
 def encoded(df: DataFrame, doc: str, text: str, rank_file: str) -> DataFrame:
     """Encode and decode every text whole: (doc, n_tokens, ids_sha256, decoded_sha256).
 

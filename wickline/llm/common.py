@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickline.session import configure
+from wickline.operators.keys import join_null_safe
+from wickline.session import configure, staged
 
-# Rows per Arrow batch. Batches are the unit of memory of the Python workers.
+# Rows and bytes of an Arrow batch. Batches are the unit of memory of the Python workers.
 BATCH_ROWS = 256
+BATCH_BYTES = 8 << 20
 # Bytes hashed at once; bounds the 8-byte arrays that hashing builds.
 HASH_BYTES = 4 << 20
 
@@ -28,6 +31,7 @@ LOWER[65:91] += 32
 def prepared(spark: SparkSession) -> SparkSession:
     """Session settings of the operators: those of the library, and small Arrow batches."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return configure(spark)
 
 
@@ -51,6 +55,19 @@ def map_arrow(
     return df.mapInArrow(function, schema)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Consecutive batches put together up to about ``size`` bytes."""
+    held, total = [], 0
+    for batch in batches:
+        held.append(batch)
+        total += batch.nbytes
+        if total >= size:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, total = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a text column, without a Python object per row. NULLs have no bytes."""
     if len(column) == 0:
@@ -148,3 +165,40 @@ def grams_at(words: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
 def signed(x: np.ndarray) -> np.ndarray:
     """The same 64 bits as the BIGINT that Spark stores."""
     return x.view(np.int64)
+
+
+# Bits of the filters of keys, whatever the number of keys: 4 MB each.
+KEY_BITS = 25
+
+
+def key_filter(keys: DataFrame, column: str) -> np.ndarray:
+    """The 64-bit keys of ``column`` as a bit set; at most 2^KEY_BITS / 64 words reach the driver."""
+    bit = F.shiftrightunsigned(column, 64 - KEY_BITS)
+    words = keys.select(F.shiftright(bit, 6).alias("place"), F.expr(
+        f"shiftleft(1L, CAST(shiftrightunsigned(`{column}`, {64 - KEY_BITS}) & 63 AS INT))").alias("mask"))
+    out = np.zeros((1 << KEY_BITS) // 64, np.int64)
+    for place, mask in words.groupBy("place").agg(F.bit_or("mask")).collect():
+        out[place] = mask
+    return out.view(np.uint64)
+
+
+def without(docs: DataFrame, bad: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the rows listed in ``bad`` (``doc``, ``text_key``), which is staged.
+
+    A filter of fixed size passes the rows that are certainly not listed; only the others, nearly as
+    few as the listed ones, meet the list in a join. A list that fills the filter joins more rows.
+    """
+    spark = docs.sparkSession
+    bad = staged(bad.select(doc, "text_key", F.xxhash64(doc, "text_key").alias("_key")), "listed")
+    shared = spark.sparkContext.broadcast(key_filter(bad, "_key"))
+
+    @F.pandas_udf("boolean")
+    def listed(keys: pd.Series) -> pd.Series:
+        bits = keys.to_numpy(np.int64).view(np.uint64) >> np.uint64(64 - KEY_BITS)
+        return pd.Series((shared.value[(bits >> np.uint64(6)).astype(np.int64)] >> (bits & np.uint64(63))
+                          & np.uint64(1)).astype(bool))
+
+    keyed = docs.withColumn("text_key", text_key(F.col(text)))
+    keyed = keyed.withColumn("_listed", listed(F.xxhash64(doc, "text_key")))
+    rest = join_null_safe(keyed.where("_listed"), bad.select(doc, "text_key"), [doc, "text_key"], "left_anti")
+    return keyed.where("NOT _listed").select(*docs.columns).unionByName(rest.select(*docs.columns))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickline.llm.common import (
-    LOWER, gram_hashes, grams_at, map_arrow, mix, prepared, span_hashes, spans, table, text_key, utf8,
+    LOWER, gram_hashes, grams_at, map_arrow, mix, prepared, span_hashes, spans, table, text_key, utf8, without,
 )
 from wickline.operators.keys import join_null_safe
 from wickline.session import staged
@@ -229,12 +229,10 @@ def contamination(docs: DataFrame, doc: str, text: str, items: DataFrame, item:
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """``docs`` without the contaminated ones. Only the few contaminated ids are joined back."""
+    """``docs`` without the contaminated ones."""
     prepared(spark)
     judged = contamination(docs, "doc_id", "text", table(spark, folder, "benchmark"), "item_id", "text")
-    bad = staged(judged.where("contaminated").select("doc_id", "text_key").distinct(), "contaminated")
-    keyed = docs.withColumn("text_key", text_key(F.col("text")))
-    return join_null_safe(keyed, bad, ["doc_id", "text_key"], "left_anti").select(*docs.columns)
+    return without(docs, judged.where("contaminated").select("doc_id", "text_key").distinct())
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

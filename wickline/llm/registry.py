@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wickline.llm import archives, bpe, contamination, lines, quality, secrets, shards, topk, toxicity
+from wickline.llm import archives, bpe, contamination, lines, neardup, quality, secrets, shards, topk, toxicity
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_secrets": secrets.query,
     "op7_line_dedup": lines.query,
     "op8_warc": archives.query,
+    "op9_jaccard_join": neardup.query,
     "op10_bpe": bpe.query,
 }
 

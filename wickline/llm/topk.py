@@ -28,8 +28,8 @@ BLOCK_CELLS = 1 << 16
 SEEDS = 32
 SEED_TERMS = 8
 PROBES = 4
-# Integers up to here are exact as doubles.
-EXACT = 1 << 53
+# Sums of products below this are exact as doubles, their bounds too.
+EXACT = 1 << 51
 
 
 def codes(df: DataFrame, key: str, vector: str, scale: int = SCALE) -> DataFrame:

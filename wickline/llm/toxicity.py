@@ -15,10 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickline.llm.common import LOWER, map_arrow, mix, prepared, span_hashes, spans, table, text_key, utf8
+from wickline.llm.common import LOWER, map_arrow, mix, prepared, span_hashes, spans, table, text_key, utf8, without
 from wickline.llm.learning import Example, PER_CLASS, examples, remainder, sample
-from wickline.operators.keys import join_null_safe
-from wickline.session import staged
 
 BITS = 18
 FACTORS = 4
@@ -151,9 +149,7 @@ def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """``docs`` without the documents predicted toxic."""
     prepared(spark)
     judged = toxicity(docs, "doc_id", "text", table(spark, folder, "labels"), "doc_id", "toxic")
-    bad = staged(judged.where("predicted = 1").select("doc_id", "text_key").distinct(), "toxic")
-    keyed = docs.withColumn("text_key", text_key(F.col("text")))
-    return join_null_safe(keyed, bad, ["doc_id", "text_key"], "left_anti").select(*docs.columns)
+    return without(docs, judged.where("predicted = 1").select("doc_id", "text_key").distinct())
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
