@@ -243,6 +243,13 @@ class Coder:
     def __init__(self, path: str):
         self.ranks = Ranks(path)
         self.classes = _classes()
+        # Tokens that merging does not reach: a piece that is one of them is taken whole.
+        raw = np.frombuffer(b"".join(self.ranks.token), np.uint8)
+        bounds = np.append(0, np.cumsum([len(t) for t in self.ranks.token]))
+        lone = np.flatnonzero(np.diff(self.ranks.replay(raw, bounds)[1]) > 1)
+        hashes = span_hashes(raw, bounds[lone], bounds[lone + 1])
+        order = np.argsort(hashes)
+        self.lone, self.lone_hashes = lone[order].astype(np.int32), hashes[order]
         self.shown = [str(i).encode() for i in range(len(self.ranks.token))]
 
     def words(self, data: np.ndarray, offsets: np.ndarray):
@@ -262,7 +269,22 @@ class Coder:
         sizes = ends[first] - starts[first]
         bounds = np.append(0, np.cumsum(sizes))
         own = data[np.repeat(starts[first] - bounds[:-1], sizes) + np.arange(bounds[-1])]
-        return *self.ranks.replay(own, bounds), word, np.searchsorted(starts, offsets)
+        ids, edges = self._whole(hashes[first], *self.ranks.replay(own, bounds))
+        return ids, edges, word, np.searchsorted(starts, offsets)
+
+    def _whole(self, hashes: np.ndarray, ids: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Put the tokens that merging does not reach in the place of their words' ids."""
+        if not len(self.lone):
+            return ids, edges
+        at = np.minimum(np.searchsorted(self.lone_hashes, hashes), len(self.lone) - 1)
+        hit = self.lone_hashes[at] == hashes
+        if not hit.any():
+            return ids, edges
+        counts = np.diff(edges)
+        kept = np.repeat(~hit, counts)
+        word = np.concatenate([np.repeat(np.arange(len(hashes)), counts)[kept], np.flatnonzero(hit)])
+        ids = np.concatenate([ids[kept], self.lone[at[hit]]])[np.argsort(word, kind="stable")]
+        return ids, np.append(0, np.cumsum(np.where(hit, 1, counts)))
 
     def flat(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, offsets of each text's ids)."""

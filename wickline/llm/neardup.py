@@ -85,31 +85,28 @@ class Classes:
     known: np.ndarray  # parts of which every shingle of frequency 2 is in the first filter
     filters: list[np.ndarray]
 
-    def _places(self, shingles: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        return _places(shingles >> np.uint64(40 - self.part_bits), self.part_bits, k)
-
     def of(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(class, whether the shingle certainly occurs in one document only)."""
         found = np.zeros(len(shingles), np.int8)
-        for k, bits in enumerate(self.filters):
+        keys = shingles >> np.uint64(40 - self.part_bits)
+        for bits in self.filters:
             held = np.ones(len(shingles), bool)
-            for place in self._places(shingles, k):
+            for place in _places(keys, 8 * len(bits) >> self.part_bits):
                 held &= (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
             found += held
         part = (shingles >> np.uint64(64 - self.part_bits)).astype(np.int64)
         return found, (found == 0) & self.known[part]
 
 
-def _places(keys: np.ndarray, part_bits: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two bits of a key (part and 24 more bits of a shingle) in filter ``k``; a part has its own stretch."""
-    own = FILTER_BITS[k] - part_bits
-    base = (keys >> np.uint64(24) << np.uint64(own)).astype(np.int64)
+def _places(keys: np.ndarray, stretch: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two filter bits of a key (part and 24 more bits of a shingle); a part has ``stretch`` bits of its own."""
+    base = (keys >> np.uint64(24)).astype(np.int64) * stretch
     spread = mix(keys)
-    low = np.uint64((1 << own) - 1)
+    low = np.uint64(stretch - 1)
     return base + (spread & low).astype(np.int64), base + (spread >> np.uint64(32) & low).astype(np.int64)
 
 
-def frequency_classes(docs: DataFrame, shingles: int) -> Classes:
+def frequency_classes(docs: DataFrame, shingles: int, filter_bits: tuple[int, ...] = FILTER_BITS) -> Classes:
     """Count every shingle of every document and keep the frequent ones in filters of fixed size.
 
     A task sends each part of the hash space one sorted list, three bytes a shingle; a shingle is listed
@@ -142,13 +139,13 @@ def frequency_classes(docs: DataFrame, shingles: int) -> Classes:
         keys = keys.astype(np.uint64) | np.uint64(part) << np.uint64(24)
         out, least = {}, 0
         for k, asked in enumerate(FREQUENT):
-            size = 1 << (FILTER_BITS[k] - part_bits)
+            size = 1 << (filter_bits[k] - part_bits)
             least = max(least, asked)
             room = size // KEY_SHARE
             if (counts >= least).sum() > room:
                 least = int(np.sort(counts)[-room]) + 1
             bits = np.zeros(size, np.uint8)
-            for place in _places(keys[counts >= least], part_bits, k):
+            for place in _places(keys[counts >= least], size):
                 bits[place & (size - 1)] = 1
             out[f"f{k}"] = [np.packbits(bits, bitorder="little").tobytes()]
             if k == 0:
@@ -157,7 +154,7 @@ def frequency_classes(docs: DataFrame, shingles: int) -> Classes:
 
     counted = map_arrow(docs, lists, "part int, listed binary").groupBy("part").applyInArrow(
         stretch, "part int, f0 binary, known boolean, f1 binary, f2 binary")
-    filters = [np.zeros((1 << bits) // 8, np.uint8) for bits in FILTER_BITS]
+    filters = [np.zeros((1 << bits) // 8, np.uint8) for bits in filter_bits]
     known = np.ones(parts, bool)
     for row in staged(counted, "frequencies").collect():
         known[row["part"]] = row["known"]
@@ -278,7 +275,9 @@ def _cross_pairs(index: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, doc: str, text: str) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, doc: str, text: str, filter_bits: tuple[int, ...] = FILTER_BITS
+) -> DataFrame:
     """Per document: (doc, n_shingles, component_id, text_key, group).
 
     Two documents link when 100 * |intersection| >= ``PERCENT`` * |union| of their shingle sets;
@@ -292,7 +291,7 @@ def near_duplicates(docs: DataFrame, doc: str, text: str) -> DataFrame:
     kind = rows.schema["_doc"].dataType.simpleString()
     base = staged(map_arrow(rows, _described, f"_doc {kind}, _key bigint, n bigint, s1 bigint, s2 bigint"), "sets")
     total = base.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    shared = spark.sparkContext.broadcast(frequency_classes(rows, total))
+    shared = spark.sparkContext.broadcast(frequency_classes(rows, total, filter_bits))
     found = map_arrow(rows, _prefixes(shared), "s1 bigint, s2 bigint, n bigint, prefix bigint, "
                       "shingles array<bigint>, places array<int>, whole binary")
     members = staged(found.withColumn("node", F.monotonically_increasing_id()), "members")
