@@ -124,9 +124,9 @@ def test_layout_sorts_files(spark, tmp_path):
 
 def test_history_points_to_the_latest_rebuild(spark, tmp_path):
     path = str(tmp_path / "h")
-    assert current_location(load_history(spark, path), "daily") is None
+    assert current_location(spark, path, "daily") is None
     for n in range(3):
         record_load(spark, path, "daily", "CREATE TABLE AS SELECT", {"location": f"v{n}"}, at(n))
-    assert current_location(load_history(spark, path), "daily") == "v2"
+    assert current_location(spark, path, "daily") == "v2"
     assert load_history(spark, path).count() == 3
     assert timedelta(0) < at(1) - datetime(2024, 1, 1, tzinfo=UTC)

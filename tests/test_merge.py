@@ -1,3 +1,4 @@
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from build import at, bronze, bronze_row, column, silver
 from wickline import schemas
 from wickline.operators import merge as M
 from wickline.operators.ingest import BRONZE_KEYS, BRONZE_ORDER
+from wickline.sources import tables as T
 from wickline.sources.tables import merge_into, read_table
 
 SHAPES = (True, False)
@@ -107,11 +109,11 @@ def test_stored_merges_do_not_depend_on_arrival(spark, tmp_path_factory, rows, c
     made = [bronze_row(day=40 * d, closed=c, ingest=at(200, i), close=10.0 + i / 8) for d, c, i in rows]
     path = str(tmp_path_factory.mktemp("t") / "table")
     rule = M.later_version(BRONZE_ORDER, schemas.BRONZE.fieldNames())
-    for step, part in enumerate([made[cut:], made[:cut]]):
+    for part in (made[cut:], made[:cut], made[cut:]):
         source = M.dedup_latest(bronze(spark, part), BRONZE_KEYS, BRONZE_ORDER)
         for _ in range(2):
             merge_into(spark, path, source, schemas.BRONZE, keys=BRONZE_KEYS, time_col="open_time",
-                       run_id=str(step), update_when=rule)
+                       update_when=rule)
     stored = read_table(spark, path, schemas.BRONZE)
     wanted = M.dedup_latest(bronze(spark, made), BRONZE_KEYS, BRONZE_ORDER)
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, wanted.collect()))
@@ -120,10 +122,64 @@ def test_stored_merges_do_not_depend_on_arrival(spark, tmp_path_factory, rows, c
 def test_only_touched_periods_are_rewritten(spark, tmp_path):
     path = str(tmp_path / "table")
     options = dict(keys=["symbol", "day"], time_col="day", update_when=M.newer_or_closing())
-    merge_into(spark, path, silver(spark, [1, 2], days=[0, 40]), schemas.SILVER, run_id="1", **options)
+    merge_into(spark, path, silver(spark, [1, 2], days=[0, 40]), schemas.SILVER, **options)
     before = {f.name for f in (tmp_path / "table" / "part=2024-01-01").iterdir()}
     counts = merge_into(
-        spark, path, stamped(silver(spark, [3], days=[41]), 2000), schemas.SILVER, run_id="2", **options)
+        spark, path, stamped(silver(spark, [3], days=[41]), 2000), schemas.SILVER, **options)
     assert counts[M.INSERTED] == 1 and counts[M.OUTPUT_ROWS] == 2
     assert {f.name for f in (tmp_path / "table" / "part=2024-01-01").iterdir()} == before
     assert read_table(spark, path, schemas.SILVER).count() == 3
+
+
+def _merge(spark, path, rows):
+    return merge_into(spark, path, bronze(spark, rows), schemas.BRONZE, keys=BRONZE_KEYS, time_col="open_time",
+                      update_when=M.later_version(BRONZE_ORDER, schemas.BRONZE.fieldNames()))
+
+
+def _days(spark, path):
+    return sorted(r.open_time.date().day for r in read_table(spark, path, schemas.BRONZE).collect())
+
+
+@pytest.mark.parametrize("left", ["_temporary/0/x", "part-00000.parquet"])
+def test_incomplete_pending_content_is_dropped(spark, tmp_path, left):
+    """A job that died while writing, or while committing its files, has not touched the table."""
+    path = str(tmp_path / "table")
+    _merge(spark, path, [bronze_row(0)])
+    pending = tmp_path / "table-pending"
+    (pending / left).parent.mkdir(parents=True)
+    (pending / left).write_text("half a file")
+    counts = _merge(spark, path, [bronze_row(1)])
+    assert counts[M.INSERTED] == 1 and _days(spark, path) == [1, 2] and not pending.exists()
+
+
+def test_complete_pending_content_is_stored_first(spark, tmp_path, monkeypatch):
+    """A job that died while replacing partitions is finished by the next merge."""
+    path = str(tmp_path / "table")
+    _merge(spark, path, [bronze_row(0), bronze_row(1)])
+
+    def dies(*_args):
+        for file in (tmp_path / "table").rglob("*.parquet"):
+            file.unlink()
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(T, "_store", dies)
+        with pytest.raises(RuntimeError):
+            _merge(spark, path, [bronze_row(2)])
+    _merge(spark, path, [bronze_row(3)])
+    assert _days(spark, path) == [1, 2, 3, 4]
+
+
+def test_repeating_an_older_load_keeps_later_ones(spark, tmp_path):
+    path = str(tmp_path / "table")
+    first, second = [bronze_row(0, close=10.0)], [bronze_row(0, close=10.5, ingest=at(9)), bronze_row(1)]
+    for rows in (first, second, first):
+        _merge(spark, path, rows)
+    stored = read_table(spark, path, schemas.BRONZE).orderBy("open_time").collect()
+    assert [r.close for r in stored] == [10.5, 11.0]
+
+
+def test_repeated_target_keys_insert_nothing_new(spark):
+    target = bronze(spark, [bronze_row(0)] * 5)
+    merged = M.merge_upsert(target, bronze(spark, [bronze_row(0), bronze_row(1)]), BRONZE_KEYS, True)
+    assert merged.where("_change = 'inserted'").count() == 1

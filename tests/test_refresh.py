@@ -1,5 +1,6 @@
 """Stored tables and streams, end to end on small landings."""
 
+import json
 from itertools import permutations
 
 import pytest
@@ -11,6 +12,7 @@ from wickline import schemas
 from wickline.operators.indicators import daily_indicators
 from wickline.operators.merge import INSERTED, UPDATED
 from wickline.plans import refresh as R
+from wickline.plans import views
 from wickline.plans.lake import Lake
 from wickline.sources.history import load_history
 from wickline.sources.landing import read_landing, write_landing_confirmed, write_landing_open
@@ -66,15 +68,90 @@ def test_land_writes_both_tracks(spark, tmp_path):
     assert column(read_table(spark, lake.bronze, schemas.BRONZE), "is_closed", "open_time") == [True] * 4
 
 
-def test_interrupted_merge_is_finished_by_the_same_run(spark, tmp_path):
-    """The second step of a merge, repeated, gives the same table and counts."""
+def test_refresh_repeated(spark, tmp_path):
+    """The same load again changes nothing."""
     lake = Lake(str(tmp_path))
     landed = bronze(spark, [bronze_row(d) for d in range(3)])
-    first = R.refresh_bronze(spark, lake, landed, "1", NOW)
-    assert R.refresh_bronze(spark, lake, landed, "1", NOW) == first
+    R.refresh_bronze(spark, lake, landed, "1", NOW)
+    again = R.refresh_bronze(spark, lake, landed, "1", NOW)
+    assert again["numTargetRowsInserted"] == 0 and again["numOutputRows"] == 3
     assert read_table(spark, lake.bronze, schemas.BRONZE).count() == 3
 
 
+def test_stream_equals_batch_when_an_open_version_follows_a_closed_one(spark, tmp_path):
+    """Two micro-batches; the second brings a newer open version of a closed candle."""
+    batches = [[bronze_row(2), bronze_row(3, closed=True, ingest=at(4, 1), close=11.5)],
+               [bronze_row(3, closed=False, ingest=at(4, 9), close=9.5), bronze_row(4, symbol="BBB")]]
+    got = []
+    for mode in ("stream", "batch"):
+        lake = Lake(str(tmp_path / mode))
+        for part in batches:
+            rows_ = bronze(spark, part)
+            write_landing_confirmed(rows_.where("is_closed"), lake.landing)
+            write_landing_open(rows_.where("NOT is_closed"), lake.landing)
+            if mode == "stream":
+                loads.stream_bronze_to_gold(
+                    spark, lake, str(tmp_path / "checkpoint"), "g", NOW).awaitTermination()
+        if mode == "batch":
+            R.refresh_bronze(spark, lake, read_landing(spark, lake.landing), "1", NOW)
+            R.refresh_silver(spark, lake, "1", NOW)
+            R.refresh_gold(spark, lake, "1", NOW)
+        got.append((rows(spark, lake), sorted(R.read_gold(spark, lake, "daily").select("symbol", "day", "close").collect())))
+    assert got[0] == got[1] and len(got[0][1]) == 3
+    assert 11.5 in [r.close for r in got[0][1]]
+
+
+def test_reset_checkpoint_loses_nothing(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    for n, day in enumerate((0, 1, 2)):
+        write_landing_confirmed(bronze(spark, [bronze_row(day)]), lake.landing)
+        loads.stream_landing_to_bronze(spark, lake, str(tmp_path / f"c{n % 2}"), "b", NOW).awaitTermination()
+    assert read_table(spark, lake.bronze, schemas.BRONZE).count() == 3
+
+
+def test_different_rows_without_a_key_are_all_kept(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    keyless = [bronze_row(0, symbol=None, close=10.0 + i / 8, ingest=at(2)) for i in range(5)]
+    for _ in range(2):
+        R.refresh_bronze(spark, lake, bronze(spark, keyless + keyless[:2]), "1", NOW)
+    assert spark.read.parquet(lake.rejects).count() == 5
+
+
+def test_open_landing_keeps_other_symbols(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    for symbol, close in (("AAA", 10.0), ("BBB", 10.5), (None, 9.5), ("AAA", 11.0)):
+        write_landing_open(bronze(spark, [bronze_row(0, symbol=symbol, closed=False, close=close)]), lake.landing)
+    landed = read_landing(spark, lake.landing).collect()
+    assert sorted(((r.symbol_raw, r.close) for r in landed), key=str) == [("AAA", 11.0), ("BBB", 10.5), (None, 9.5)]
+
+
+def test_from_pages_to_gold(spark, tmp_path):
+    """JSON pages, some of them broken, to gold, with the checks and views after the loads."""
+    lake = Lake(str(tmp_path))
+    start = 1704067200000
+
+    def kline(d, close="11.0"):
+        opened = start + d * 86_400_000
+        return [opened, "10.0", "12.0", "9.0", close, "5.0", opened + 86_399_999, "0", 3, "0", "0", "0"]
+
+    pages = spark.createDataFrame(
+        [(json.dumps([kline(d) for d in (0, 1, 3, 4)]), "AAA"), ("no json", "AAA"),
+         (json.dumps([kline(5, "x")]), "AAA")], "page string, symbol_raw string")
+    R.land_pages(spark, lake, pages, "page", "symbol_raw", at(4, 9))
+    assert sorted(r.fault for r in spark.read.parquet(lake.faults).collect()) == ["unreadable page", "unreadable value"]
+    R.refresh_bronze(spark, lake, read_landing(spark, lake.landing), "1", at(4, 9))
+    R.refresh_silver(spark, lake, "1", at(4, 9))
+    R.refresh_gold(spark, lake, "1", at(4, 9))
+    assert R.check_bronze(spark, lake).first()[0] == 4
+    completeness, gaps = R.check_silver(spark, lake)
+    assert completeness.count() == 1 and [r.day.day for r in gaps.collect()] == [3]
+    views.create_views(spark, lake)
+    assert spark.sql("SELECT count(*) FROM gold_daily").first()[0] == 3
+    assert {r.layer for r in spark.sql("SELECT * FROM volume_daily").collect()} == {"silver", "gold"}
+    assert spark.sql("SELECT * FROM history_gold").count() == 4
+    assert [r.position for r in spark.sql("SELECT * FROM glossary").collect()] == list(range(1, 17))
+
+
 VERSIONS = [bronze_row(3, closed=False, ingest=at(3, 5), close=10.5),
             bronze_row(3, closed=True, ingest=at(4, 1), close=11.5),
             bronze_row(3, closed=False, ingest=at(3, 9), close=9.5)]

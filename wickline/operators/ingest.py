@@ -125,7 +125,8 @@ BRONZE_ORDER = ("is_closed", "ingest_ts_utc")
 def both_tracks(src: DataFrame, bronze: DataFrame, as_of: datetime, interval: str) -> DataFrame:
     """Rows to land: newly confirmed candles and the running candle."""
     cutoff = safe_cutoff(F.lit(as_of), interval)
-    confirmed = confirmed_slice(src, high_water_mark(bronze), cutoff)
+    # One row per series; staged, so that Spark knows its size when it joins.
+    confirmed = confirmed_slice(src, staged(high_water_mark(bronze), "marks"), cutoff)
     return stamp_lineage(confirmed, as_of, True).unionByName(
         stamp_lineage(open_slice(src, as_of), as_of, False))
 

@@ -26,19 +26,20 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, on, how).drop(*[f"_right_{k}" for k in keys])
 
 
-# Copies of a per-key row in joins with the many rows of that key.
+# Copies of a per-key row in joins with the many rows of that key, where their number is not known.
 SALTS = 16
 
 
 def attach(
-    df: DataFrame, per_key: DataFrame, keys: str | Sequence[str], spread: Column, how: str = "inner"
+    df: DataFrame, per_key: DataFrame, keys: str | Sequence[str], spread: Column, how: str = "inner",
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join the one row that ``per_key`` has per key to all the rows of that key in ``df``.
 
     No broadcast is forced: Spark chooses one when the size of ``per_key`` allows. Otherwise both
     sides are shuffled by (keys, salt), the salt being taken from ``spread``, so that the rows of
-    one very frequent key go to ``SALTS`` tasks. NULL keys match each other.
+    one very frequent key go to ``salts`` tasks. NULL keys match each other.
     """
-    copies = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = df.withColumn("_salt", F.coalesce(F.pmod(F.hash(spread), F.lit(SALTS)), F.lit(0)))
+    copies = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = df.withColumn("_salt", F.coalesce(F.pmod(F.hash(spread), F.lit(salts)), F.lit(0)))
     return join_null_safe(salted, copies, [*names(keys), "_salt"], how).drop("_salt")

@@ -22,9 +22,9 @@ SMALL_SOURCE_ROWS = 200_000
 def dedup_latest(df: DataFrame, keys: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the greatest by ``order``, NULL lowest, then by the other columns.
 
-    An aggregate rather than ROW_NUMBER: every map task keeps one row per key, so any number
-    of versions of one key costs one row per task in the shuffle. The remaining columns end the
-    ordering, which makes full ties deterministic.
+    An aggregate: every map task sends one row per key, so any number of versions of one key costs
+    one row per task in the shuffle (the struct of columns is aggregated by sorting, on both sides).
+    The remaining columns end the ordering, which makes full ties deterministic.
     """
     keys = names(keys)
     rest = [c for c in df.columns if c not in keys]
@@ -75,7 +75,8 @@ def merge_upsert_when(
             from_source & update,
             F.when(from_source & update, "updated").otherwise("unchanged")))
         # target LEFT SEMI source, then source LEFT ANTI that: both broadcast a part of the source.
-        present = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
+        # Distinct, so that a target that repeats keys cannot outgrow the source's bound.
+        present = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi").distinct()
         new = source.join(F.broadcast(present), keys, "left_anti")
         return kept.unionByName(new.select(*columns, F.lit("inserted").alias("_change")))
 

@@ -114,6 +114,8 @@ def missing_loads(history: DataFrame, today: date, days: int = ALERT_DAYS) -> Da
     end = F.lit(today)
     spark = history.sparkSession
     spine = spark.range(days + 1).select(F.date_sub(end, F.col("id").cast("int")).alias("day"))
-    loaded = history_gold(history).select(F.to_date("executed_at").alias("day"))
-    loaded = loaded.where(F.col("day").between(F.date_sub(end, days), end)).distinct()
+    # A range of the stored time itself, which the scan can use.
+    first, after = F.date_sub(end, days).cast("timestamp"), F.date_add(end, 1).cast("timestamp")
+    recent = history.where((F.col("executed_at") >= first) & (F.col("executed_at") < after))
+    loaded = history_gold(recent).select(F.to_date("executed_at").alias("day")).distinct()
     return spine.join(loaded, "day", "left_anti")

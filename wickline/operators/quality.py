@@ -16,7 +16,7 @@ Rule = tuple[str, Column]
 _PRICES = ("open", "high", "low", "close")
 
 
-def _symbol() -> Column:
+def clean_symbol() -> Column:
     return F.upper(F.trim("symbol_raw"))
 
 
@@ -41,7 +41,7 @@ def typed_candles(bronze: DataFrame) -> DataFrame:
     for name, value in amounts.items():
         lost = lost | (F.col(name).isNotNull() & value.isNull())
     return bronze.select(
-        _symbol().alias("symbol"),
+        clean_symbol().alias("symbol"),
         F.col("open_time").cast("timestamp").alias("open_time"),
         F.col("close_time").cast("timestamp").alias("close_time"),
         *[value.alias(name) for name, value in amounts.items()],
@@ -90,7 +90,7 @@ def latest_versions(bronze: DataFrame) -> DataFrame:
     and a reader who does not use the payload never builds it.
     """
     keyed = bronze.withColumns({
-        "_symbol": _symbol(), "_open_time": F.col("open_time"),
+        "_symbol": clean_symbol(), "_open_time": F.col("open_time"),
         "_closed": _closed(), "_ingest": _ingest_time(),
     })
     best = dedup_latest(keyed, ["_open_time", "_symbol"], ["_closed", "_ingest"])
@@ -122,8 +122,14 @@ def reject_rows(cleaned: DataFrame, as_of: datetime | None = None) -> DataFrame:
 
 
 def store_rejects(rejects: DataFrame, cleaned: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """Rejected rows not stored yet; NULLs in (symbol, open_time, ingest_ts) match each other."""
-    return new_rows(rejects, reject_rows(cleaned, as_of), ["symbol", "open_time", "ingest_ts"])
+    """Rejected rows not stored yet: one per (symbol, open_time, ingest_ts) and payload.
+
+    NULLs match each other. Different rows without a key are told apart by their payloads, so none
+    of them is lost; the same row received again is stored once.
+    """
+    keys = ["symbol", "open_time", "ingest_ts", "payload"]
+    once = dedup_latest(reject_rows(cleaned, as_of), keys, ["reason"])
+    return new_rows(rejects, once, keys)
 
 
 def load_check(bronze: DataFrame) -> DataFrame:

@@ -15,11 +15,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from wickline.operators.keys import join_null_safe, names
+from wickline.operators.keys import attach, join_null_safe, names
 from wickline.session import staged
 
 # Daily series stay below this for half a century; the halo of 199 rows adds 1 % above it.
 MAX_ROWS = 20_000
+# Upper bound of the copies of a long series' entry: 20 million rows a task at 20 billion a series.
+MOST_SALTS = 1024
 
 
 @dataclass
@@ -75,18 +77,24 @@ def split_by_size(
 ) -> tuple[DataFrame, DataFrame | None]:
     """(rows of groups with at most ``rows`` rows, rows of larger groups or None if there are none).
 
-    Costs one pre-aggregated count. The list of large groups has at most 1/``rows`` as many rows
-    as ``df``; it is staged, so its join is planned by its true size.
+    Runs one pre-aggregated count when the plan is built; ``df`` should be stored. The list of large
+    groups has at most 1/``rows`` as many rows as ``df``; it is staged, so its join is planned by its
+    true size. Where that is no broadcast, a group's rows are spread by a salt that grows with the
+    largest group, so none of them meets its whole group in one task.
     """
-    large = df.groupBy(*by).count().where(F.col("count") > rows).select(*by)
-    if large.isEmpty():
+    large = staged(df.groupBy(*by).count().where(F.col("count") > rows), "large")
+    most = large.agg(F.max("count")).first()[0]
+    if most is None:
         return df, None
-    large = staged(large, "large")
-    return join_null_safe(df, large, by, "left_anti"), join_null_safe(df, large, by, "left_semi")
+    salts = min(MOST_SALTS, -(-most // rows))
+    marked = attach(df, large.withColumn("_large", F.lit(True)).drop("count"), by,
+                    F.xxhash64(*df.columns), "left", salts)
+    short = marked.where(F.col("_large").isNull()).drop("_large")
+    return short, marked.where(F.col("_large").isNotNull()).drop("_large")
 
 
-def _cut(df: DataFrame, by: list[str], on: str, halo: int, carry: Sequence[str], max_rows: int):
-    placed = ordered_positions(df, by, [on], "_position")
+def _cut(df: DataFrame, by: list[str], on: Sequence[str], halo: int, carry: Sequence[str], max_rows: int):
+    placed = ordered_positions(df, by, on, "_position")
     offset = F.col("_position") - 1
     placed = placed.withColumn("_own", F.floor(offset / max_rows))
     copied = offset % max_rows >= max_rows - halo
@@ -114,8 +122,13 @@ def on_series(
     on: str = "day",
     carry: Sequence[str] = (),
     max_rows: int = MAX_ROWS,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """Apply ``build(frame, series)`` to series ordered by ``on``.
+    """Apply ``build(frame, series)`` to series ordered by ``on``, then ``ties``.
+
+    Rows equal in (``by``, ``on``, ``ties``) have no order of their own; name columns in ``ties`` that
+    tell rows of one time apart, and both plans number them alike. ``df`` should be stored: it is
+    counted when the plan is built.
 
     ``halo``: how many earlier rows the widest frame of ``build`` reaches back.
     ``carry``: columns for which ``build`` uses ``series.running_max``.
@@ -124,11 +137,11 @@ def on_series(
     if max_rows <= halo:
         raise ValueError("pieces must be longer than the halo")
     short, long = split_by_size(df, by, max_rows)
-    order = Window.partitionBy(*by).orderBy(on)
+    order = Window.partitionBy(*by).orderBy(*[F.col(c).asc_nulls_first() for c in (on, *ties)])
     whole = build(short, Series(order, F.row_number().over(order).cast("bigint")))
     if long is None:
         return whole
-    frame, series = _cut(long, by, on, halo, carry, max_rows)
+    frame, series = _cut(long, by, [on, *ties], halo, carry, max_rows)
     pieces = build(frame, series).where(F.col("_piece") == F.col("_own"))
     return whole.unionByName(pieces.select(*whole.columns))
 

@@ -25,6 +25,10 @@ class Lake:
     def rejects(self) -> str:
         return f"{self.root}/rejects"
 
+    @property
+    def faults(self) -> str:
+        return f"{self.root}/faults"
+
     @property
     def history(self) -> str:
         return f"{self.root}/history"

@@ -9,26 +9,30 @@ import time
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wickline import schemas
 from wickline.operators.indicators import daily_indicators
-from wickline.operators.ingest import BRONZE_KEYS, BRONZE_ORDER, both_tracks
+from wickline.operators.ingest import (
+    BRONZE_KEYS, BRONZE_ORDER, both_tracks, faulty_klines, normalize_klines,
+)
 from wickline.operators.merge import (
     DURATION_MS, OUTPUT_ROWS, dedup_latest, later_version, newer_or_closing,
     newer_or_closing_protected, split_null_keys,
 )
 from wickline.operators.monitor import GOLD_TABLES, MERGE_OPERATION, REBUILD_OPERATIONS, SILVER_TABLE
 from wickline.operators.quality import (
-    clean_candles, quality_reason, silver_rows, split_valid_rejected, store_rejects, typed_candles,
+    clean_candles, clean_symbol, latest_versions, load_check, missing_days, quality_reason,
+    series_completeness, silver_rows, split_valid_rejected, store_rejects, typed_candles,
 )
 from wickline.operators.summaries import kpi_snapshot, monthly_summary, weekday_seasonality
 from wickline.plans.lake import Lake
 from wickline.session import staged
-from wickline.sources.history import LOCATION, current_location, load_history, record_load
+from wickline.sources.history import LOCATION, current_location, record_load
 from wickline.sources.landing import (
     read_or_empty, write_landing_confirmed, write_landing_open,
 )
-from wickline.sources.tables import merge_into, read_table, replace_table
+from wickline.sources.tables import PART, merge_into, read_table, replace_table, rows_of_days
 
 
 def _milliseconds(since: float) -> int:
@@ -43,6 +47,40 @@ def land(spark: SparkSession, lake: Lake, src: DataFrame, as_of: datetime, inter
     write_landing_open(rows.where("NOT is_closed"), lake.landing)
 
 
+def land_pages(
+    spark: SparkSession, lake: Lake, pages: DataFrame, json_col: str, symbol: str, as_of: datetime,
+    interval: str = "1d",
+) -> None:
+    """From JSON pages to the landing folder. Unreadable pages and rows are stored with their fault."""
+    pages = staged(pages, "pages")
+    faults = faulty_klines(pages, json_col).withColumn("found_at", F.lit(as_of).cast("timestamp"))
+    faults.write.mode("append").parquet(lake.faults)
+    land(spark, lake, normalize_klines(pages, json_col, symbol), as_of, interval)
+
+
+def landed_days(spark: SparkSession, lake: Lake, landed: DataFrame, grain: str = "month") -> DataFrame:
+    """The bronze rows of every symbol and day that ``landed`` touches.
+
+    Bronze has the winning versions: silver fed with these gets what a refresh from all of bronze gives.
+    """
+    by = {"symbol": clean_symbol(), "day": F.to_date("open_time")}
+    days = landed.where(F.col("open_time").isNotNull()).select(
+        *[value.alias(name) for name, value in by.items()],
+        F.to_date(F.date_trunc(grain, "open_time")).alias(PART)).distinct()
+    return rows_of_days(spark, lake.bronze, schemas.BRONZE, staged(days, "days"), by, "open_time", grain)
+
+
+def check_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Rows, first and last open time and open rows of bronze, as looked at after every merge."""
+    return load_check(read_table(spark, lake.bronze, schemas.BRONZE))
+
+
+def check_silver(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
+    """(completeness of every series, days without a candle), as looked at after every silver load."""
+    silver = read_table(spark, lake.silver, schemas.SILVER)
+    return series_completeness(silver), missing_days(silver)
+
+
 def refresh_bronze(
     spark: SparkSession, lake: Lake, landed: DataFrame, run_id: str, as_of: datetime,
     grain: str = "month",
@@ -57,7 +95,7 @@ def refresh_bronze(
     _append_rejects(spark, lake, quality_reason(typed_candles(keyless)), as_of)
     counts = merge_into(
         spark, lake.bronze, dedup_latest(keyed, BRONZE_KEYS, BRONZE_ORDER), schemas.BRONZE,
-        keys=BRONZE_KEYS, time_col="open_time", run_id=run_id, grain=grain,
+        keys=BRONZE_KEYS, time_col="open_time", grain=grain,
         update_when=later_version(BRONZE_ORDER, schemas.BRONZE.fieldNames()))
     record_load(spark, lake.history, "bronze", MERGE_OPERATION,
                 {**counts, DURATION_MS: _milliseconds(began)})
@@ -68,11 +106,9 @@ def _append_rejects(spark: SparkSession, lake: Lake, cleaned: DataFrame, as_of:
     _, rejected = split_valid_rejected(cleaned)
     if rejected.isEmpty():
         return
-    # One row per key before the join, however often a faulty row was received.
-    once = dedup_latest(rejected, ["symbol", "open_time", "ingest_ts"], ["reason"])
     stored = read_or_empty(spark, lake.rejects, schemas.REJECT)
     # Staged: the rejects folder cannot be read and appended to in one plan.
-    staged(store_rejects(stored, once, as_of), "rejects").write.mode("append").parquet(lake.rejects)
+    staged(store_rejects(stored, rejected, as_of), "rejects").write.mode("append").parquet(lake.rejects)
 
 
 def refresh_silver(
@@ -87,13 +123,14 @@ def refresh_silver(
     """
     began = time.monotonic()
     bronze = read_table(spark, lake.bronze, schemas.BRONZE) if changed is None else changed
-    cleaned = staged(clean_candles(bronze), "cleaned")
+    # Staged as received: the JSON payload is built on the rejected rows only.
+    winners = staged(latest_versions(bronze), "winners")
+    cleaned = quality_reason(typed_candles(winners))
     _append_rejects(spark, lake, cleaned, as_of)
     rule = newer_or_closing_protected() if protect_closed else newer_or_closing()
     counts = merge_into(
         spark, lake.silver, silver_rows(cleaned, as_of), schemas.SILVER,
-        keys=["symbol", "day"], time_col="day", run_id=run_id, update_when=rule,
-        grain=grain)
+        keys=["symbol", "day"], time_col="day", update_when=rule, grain=grain)
     record_load(spark, lake.history, SILVER_TABLE, MERGE_OPERATION,
                 {**counts, DURATION_MS: _milliseconds(began)})
     return counts
@@ -121,7 +158,7 @@ def refresh_gold(spark: SparkSession, lake: Lake, run_id: str, as_of: datetime)
 
 
 def read_gold(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
-    folder = current_location(load_history(spark, lake.history), table)
+    folder = current_location(spark, lake.history, table)
     if folder is None:
         raise LookupError(f"no {table} table has been built in {lake.root}")
     return spark.read.parquet(folder)

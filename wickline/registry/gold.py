@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wickline import schemas
 from wickline.operators import indicators, series, summaries
 from wickline.operators.quantile import exact_median
 from wickline.operators.quality import clean_candles, silver_rows
@@ -40,12 +41,12 @@ _LOG = f"{S.rounded('log_return', 10)} AS log_return"
 _KEY = "symbol, day"
 
 
-@query("lag_previous", S.select(S.RAW, f"SELECT {_KEY}, close, prev_close FROM lagged"))
+@query("lag_previous", S.select(S.RAW, f"SELECT {_KEY}, close, prev_close FROM stepped"))
 def lag_previous(spark, folder):
     return series.lag_previous(_closed(spark, folder)).select("symbol", "day", "close", "prev_close")
 
 
-@query("row_index", S.select(S.RAW, f"SELECT {_KEY}, n AS row_index FROM lagged"))
+@query("row_index", S.select(S.RAW, f"SELECT {_KEY}, n AS row_index FROM stepped"))
 def row_index(spark, folder):
     return series.row_index(_closed(spark, folder)).select("symbol", "day", "row_index")
 
@@ -81,13 +82,13 @@ def long_series_windows(spark, folder):
     ).select("symbol", "day", "row_index", "prev_close", "close_max", "close_ma200")
 
 
-@query("change", S.select(S.RAW, f"SELECT {_KEY}, close, prev_close, {S.CHANGES} FROM lagged"))
+@query("change", S.select(S.RAW, f"SELECT {_KEY}, close, prev_close, {S.CHANGES} FROM stepped"))
 def change(spark, folder):
     return indicators.change(_closed(spark, folder)).select(
         "symbol", "day", "close", "prev_close", "change_abs", "change_pct")
 
 
-@query("log_return", S.select(S.RAW, f"SELECT {_KEY}, {_LOG} FROM returns"))
+@query("log_return", S.select(S.RAW, f"SELECT {_KEY}, {_LOG} FROM stepped"))
 def log_return(spark, folder):
     return _steady(indicators.log_return(_closed(spark, folder)).select("symbol", "day", "log_return"))
 
@@ -194,22 +195,28 @@ def intraday_windows(spark, folder):
         events, lambda f, s: f.withColumns({
             "value_ma50": s.mean("value", 50), "value_max": s.running_max("value"),
             "row_index": s.position}),
-        by="event_type", on="ts", halo=49, carry=["value"], max_rows=SHORT_PIECE).drop("value")
-
-
-_MONTHLY = S.select(S.DAILY, f"""
-SELECT symbol, CAST(date_trunc('month', day) AS DATE) AS month_start, year, month, year_month,
-       arg_min_null(open, day) AS open_m, arg_max_null(close, day) AS close_m,
-       max(high) AS high_m, min(low) AS low_m,
-       {S.rounded('(arg_max_null(close, day) / arg_min_null(open, day) - 1) * 100', 2)} AS return_pct,
-       {S.rounded('(max(high) - min(low)) / arg_min_null(open, day) * 100', 2)} AS range_pct,
-       sum(volume) AS volume, {S.rounded('sum(quote_volume_est)', 2)} AS quote_volume_est,
-       CAST(sum(num_trades) AS BIGINT) AS num_trades, count(*) AS days,
-       count(*) FILTER (WHERE change_pct > 0) AS up_days,
-       count(*) FILTER (WHERE change_pct < 0) AS down_days,
-       {S.rounded('stddev_samp(log_return) * sqrt(365) * 100', 2)} AS vol_annual_pct,
-       min(drawdown_pct) AS worst_drawdown_pct
-FROM daily GROUP BY ALL""")
+        by="event_type", on="ts", ties=["event_id"], halo=49, carry=["value"], max_rows=SHORT_PIECE).drop("value")
+
+
+_MONTHLY = S.select(S.DAILY + """,
+dated AS (
+  SELECT *, day - CAST(dayofmonth(day) - 1 AS INTEGER) AS month_start,
+         rank() OVER (PARTITION BY symbol, year, month ORDER BY day) AS nth,
+         rank() OVER (PARTITION BY symbol, year, month ORDER BY day DESC) AS nth_last FROM daily),
+months AS (
+  SELECT symbol, month_start, max(high) AS high_m, min(low) AS low_m, sum(volume) AS volume,
+         sum(quote_volume_est) AS quoted, sum(num_trades) AS trades, count(*) AS days,
+         sum(CAST(change_pct > 0 AS INTEGER)) AS ups, sum(CAST(change_pct < 0 AS INTEGER)) AS downs,
+         stddev_samp(log_return) AS sd, min(drawdown_pct) AS worst
+  FROM dated GROUP BY symbol, month_start)""", f"""
+SELECT m.symbol, m.month_start, f.year, f.month, f.year_month, f.open AS open_m, l.close AS close_m,
+       high_m, low_m, {S.rounded('(l.close / f.open - 1) * 100', 2)} AS return_pct,
+       {S.rounded('(high_m - low_m) / f.open * 100', 2)} AS range_pct, m.volume,
+       {S.rounded('quoted', 2)} AS quote_volume_est, CAST(trades AS BIGINT) AS num_trades, m.days,
+       CAST(coalesce(ups, 0) AS BIGINT) AS up_days, CAST(coalesce(downs, 0) AS BIGINT) AS down_days,
+       {S.rounded('m.sd * sqrt(365) * 100', 2)} AS vol_annual_pct, worst AS worst_drawdown_pct
+FROM months m JOIN dated f ON f.nth = 1 AND (f.symbol, f.month_start) = (m.symbol, m.month_start)
+JOIN dated l ON l.nth_last = 1 AND (l.symbol, l.month_start) = (m.symbol, m.month_start)""")
 
 
 @query("monthly_summary", _MONTHLY)
@@ -220,22 +227,17 @@ def monthly_summary(spark, folder):
 
 
 _WEEKDAY = S.select(S.DAILY + """,
-moves AS (SELECT * FROM daily WHERE change_pct IS NOT NULL),
-ranked AS (
-  SELECT symbol, weekday_num, change_pct,
-         row_number() OVER (PARTITION BY symbol, weekday_num ORDER BY change_pct) AS r,
-         count(*) OVER (PARTITION BY symbol, weekday_num) AS n FROM moves),
-medians AS (
-  SELECT symbol, weekday_num, 0.5::DOUBLE * min(change_pct) + 0.5::DOUBLE * max(change_pct) AS med
-  FROM ranked WHERE r IN ((n + 1) // 2, n // 2 + 1) GROUP BY symbol, weekday_num)""", f"""
-SELECT symbol, weekday_num, weekday, count(*) AS days,
-       {S.rounded('avg(change_pct)', 3)} AS mean_return_pct,
-       {S.rounded('any_value(med)', 3)} AS median_return_pct,
-       {S.rounded('CAST(count(*) FILTER (WHERE change_pct > 0) AS DOUBLE) / count(*) * 100', 1)}
+sorted AS (
+  SELECT symbol, weekday_num, any_value(weekday) AS weekday, list(change_pct ORDER BY change_pct) AS moves,
+         avg(change_pct) AS mean_move, avg(range_pct) AS mean_range, avg(volume) AS mean_vol
+  FROM daily WHERE change_pct = change_pct GROUP BY symbol, weekday_num)""", f"""
+SELECT symbol, weekday_num, weekday, len(moves) AS days, {S.rounded('mean_move', 3)} AS mean_return_pct,
+       {S.rounded('0.5::DOUBLE * moves[(len(moves) + 1) // 2] + 0.5::DOUBLE * moves[len(moves) // 2 + 1]', 3)}
+         AS median_return_pct,
+       {S.rounded('CAST(len(list_filter(moves, lambda x: x > 0)) AS DOUBLE) / len(moves) * 100', 1)}
          AS up_days_pct,
-       {S.rounded('avg(range_pct)', 3)} AS mean_range_pct,
-       {S.rounded('avg(volume)', 2)} AS mean_volume
-FROM moves JOIN medians USING (symbol, weekday_num) GROUP BY symbol, weekday_num, weekday""")
+       {S.rounded('mean_range', 3)} AS mean_range_pct, {S.rounded('mean_vol', 2)} AS mean_volume
+FROM sorted""")
 
 
 def _stored_daily(spark: SparkSession, folder: str, **options) -> tuple[DataFrame, DataFrame]:
@@ -267,43 +269,44 @@ def median_price(spark, folder):
 
 
 _REF = """,
-ref AS (SELECT symbol, max(day) AS dt FROM daily GROUP BY symbol),
-d AS (SELECT g.*, r.dt FROM daily g JOIN ref r USING (symbol)),
-partial AS (
-  SELECT symbol, CAST(arg_max_null(close, day) AS DOUBLE) AS partial_price,
-         arg_max_null(ingest_ts, day) AS partial_price_at
-  FROM silver WHERE NOT is_closed GROUP BY symbol)"""
-
-
-def _asof(col: str, cond: str) -> str:
-    return f"arg_max_null({col}, day) FILTER (WHERE {cond})"
+newest AS (FROM daily QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY day DESC) = 1),
+unfinished AS (
+  SELECT symbol, CAST(close AS DOUBLE) AS partial_price, ingest_ts AS partial_price_at FROM silver
+  WHERE is_closed = false QUALIFY rank() OVER (PARTITION BY symbol ORDER BY day DESC) = 1),
+asked AS (
+  SELECT symbol, close AS now_close, unnest(['7', '30', '365', 'ytd']) AS label,
+         unnest([day - 7, day - 30, day - 365, make_date(year(day), 1, 1) - 1]) AS target FROM newest),
+then_closes AS (
+  SELECT a.symbol, a.label, a.now_close, d.close
+  FROM asked a ASOF LEFT JOIN daily d ON a.symbol = d.symbol AND a.target >= d.day)"""
 
 
-_CLOSE = "arg_max_null(close, day)"
+def _then(label: str) -> str:
+    return f"max(close) FILTER (WHERE label = '{label}')"
 
 
-def _since(cond: str) -> str:
-    return S.rounded(f"({_CLOSE} / {_asof('close', cond)} - 1) * 100", 2)
+def _since(label: str) -> str:
+    return S.rounded(f"(any_value(now_close) / {_then(label)} - 1) * 100", 2)
 
 
 _KPI = S.select(S.DAILY + _REF + f""",
-kpi AS (
-  SELECT symbol, max(dt) AS last_close_day, {_CLOSE} AS last_close,
-         {S.rounded('arg_max_null(change_pct, day)', 2)} AS change_1d_pct,
-         {_since("day <= dt - 7")} AS change_7d_pct, {_since("day <= dt - 30")} AS change_30d_pct,
-         {_since("day <= dt - 365")} AS change_12m_pct,
-         {_since("day < make_date(year(dt), 1, 1)")} AS change_ytd_pct,
-         max(high) AS all_time_high, min(day) FILTER (WHERE high = tops.top) AS all_time_high_day,
-         max(high) FILTER (WHERE day > dt - 365) AS high_52w,
-         min(low) FILTER (WHERE day > dt - 365) AS low_52w,
-         arg_max_null(drawdown_pct, day) AS drawdown_pct,
-         arg_max_null(vol_30d_annual_pct, day) AS vol_30d_annual_pct,
-         arg_max_null(ma50, day) AS ma50, arg_max_null(ma200, day) AS ma200,
-         arg_max_null(trend_ma50_ma200, day) AS trend_ma50_ma200,
-         {S.rounded('avg(volume) FILTER (WHERE day > dt - 30)', 2)} AS mean_volume_30d
-  FROM d JOIN (SELECT symbol, max(high) AS top FROM daily GROUP BY symbol) tops USING (symbol)
-  GROUP BY symbol)""", """
-SELECT kpi.*, partial_price, partial_price_at FROM kpi LEFT JOIN partial USING (symbol)""")
+peaks AS (FROM daily QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY high DESC, day) = 1),
+year_bounds AS (
+  SELECT n.symbol, max(d.high) AS high_52w, min(d.low) AS low_52w
+  FROM newest n JOIN daily d ON d.symbol = n.symbol AND d.day BETWEEN n.day - 364 AND n.day GROUP BY n.symbol),
+month_volumes AS (
+  SELECT n.symbol, avg(d.volume) AS mean_volume
+  FROM newest n JOIN daily d ON d.symbol = n.symbol AND d.day BETWEEN n.day - 29 AND n.day GROUP BY n.symbol),
+changes AS (
+  SELECT symbol, {_since('7')} AS change_7d_pct, {_since('30')} AS change_30d_pct,
+         {_since('365')} AS change_12m_pct, {_since('ytd')} AS change_ytd_pct
+  FROM then_closes GROUP BY symbol)""", f"""
+SELECT symbol, n.day AS last_close_day, n.close AS last_close, {S.rounded('n.change_pct', 2)} AS change_1d_pct,
+       change_7d_pct, change_30d_pct, change_12m_pct, change_ytd_pct, p.high AS all_time_high,
+       p.day AS all_time_high_day, high_52w, low_52w, n.drawdown_pct, n.vol_30d_annual_pct, n.ma50, n.ma200,
+       n.trend_ma50_ma200, {S.rounded('mean_volume', 2)} AS mean_volume_30d, partial_price, partial_price_at
+FROM newest n JOIN peaks p USING (symbol) JOIN year_bounds USING (symbol) JOIN month_volumes USING (symbol)
+JOIN changes USING (symbol) LEFT JOIN unfinished USING (symbol)""")
 
 
 @query("kpi_snapshot", _KPI)
@@ -312,31 +315,29 @@ def kpi_snapshot(spark, folder):
     return summaries.kpi_snapshot(daily, silver)
 
 
-@query("join_ref_date", S.select(S.DAILY + _REF, f"SELECT {_KEY}, close, dt AS ref_day FROM d"))
+@query("join_ref_date", S.select(S.DAILY + _REF, """
+SELECT daily.symbol, daily.day, daily.close, newest.day AS ref_day FROM daily JOIN newest USING (symbol)"""))
 def join_ref_date(spark, folder):
     return summaries.join_ref_date(_closed(spark, folder).select("symbol", "day", "close"))
 
 
 @query("asof_lookback", S.select(S.DAILY + _REF, f"""
-SELECT symbol, max(dt) AS ref_day, {_CLOSE} AS close,
-       {_asof('close', 'day <= dt - 7')} AS close_7d_ago,
-       {_asof('close', 'day <= dt - 30')} AS close_30d_ago,
-       {_asof('close', 'day <= dt - 365')} AS close_365d_ago
-FROM d GROUP BY symbol"""))
+SELECT newest.symbol, any_value(newest.day) AS ref_day, any_value(now_close) AS close,
+       {_then('7').replace('close', 't.close')} AS close_7d_ago,
+       {_then('30').replace('close', 't.close')} AS close_30d_ago,
+       {_then('365').replace('close', 't.close')} AS close_365d_ago
+FROM then_closes t JOIN newest USING (symbol) GROUP BY newest.symbol"""))
 def asof_lookback(spark, folder):
     return summaries.asof_lookback(_closed(spark, folder), "close", [7, 30, 365])
 
 
-_ORDER_DAYS = """bars AS (
+@query("asof_lookback_orders", """
+WITH bars AS (
   SELECT o_orderstatus AS symbol, CAST(o_orderdate AS DATE) AS day, max(o_totalprice) AS top_price
   FROM orders GROUP BY ALL),
-d AS (SELECT *, max(day) OVER (PARTITION BY symbol) AS dt FROM bars)"""
-
-
-@query("asof_lookback_orders", f"""WITH {_ORDER_DAYS}
-SELECT symbol, max(dt) AS ref_day, arg_max_null(top_price, day) AS top_price,
-       {_asof('top_price', 'day <= dt - 30')} AS top_price_30d_ago
-FROM d GROUP BY symbol""")
+ends AS (FROM bars QUALIFY day = max(day) OVER (PARTITION BY symbol))
+SELECT e.symbol, e.day AS ref_day, e.top_price, b.top_price AS top_price_30d_ago
+FROM ends e ASOF LEFT JOIN bars b ON e.symbol = b.symbol AND e.day - 30 >= b.day""")
 def asof_lookback_orders(spark, folder):
     """As-of look-back over the highest order of each day, per order status."""
     bars = market.table(spark, folder, "orders").groupBy(
@@ -346,8 +347,8 @@ def asof_lookback_orders(spark, folder):
 
 
 @query("join_partial_price", S.select(S.DAILY + _REF, """
-SELECT ref.symbol, dt AS ref_day, partial_price, partial_price_at
-FROM ref LEFT JOIN partial USING (symbol)"""))
+SELECT newest.symbol, newest.day AS ref_day, partial_price, partial_price_at
+FROM newest LEFT JOIN unfinished USING (symbol)"""))
 def join_partial_price(spark, folder):
     silver = _silver(spark, folder)
     last = indicators.closed_candles(silver).groupBy("symbol").agg(F.max("day").alias("ref_day"))
@@ -380,9 +381,14 @@ def replace_table(spark, folder):
     return spark.read.parquet(written).select(*_REPORT)
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
 _COUNTED = " UNION ALL ".join(
-    f"SELECT {row[0]} AS position, '{row[1]}' AS category, '{row[5]}' AS source_column, "
-    f"count({row[5].split('.')[1]}) AS filled_rows FROM {row[5].split('.')[0]}_table"
+    f"SELECT {row[0]} AS position, " + ", ".join(
+        f"{_text(value)} AS {name}" for name, value in zip(schemas.GLOSSARY.fieldNames()[1:], row[1:]))
+    + f", count({row[5].split('.')[1]}) AS filled_rows FROM {row[5].split('.')[0]}_table"
     for row in glossary.ROWS)
 
 
@@ -399,5 +405,4 @@ def glossary_terms(spark, folder):
         "weekday": summaries.weekday_seasonality(daily),
         "kpi": summaries.kpi_snapshot(daily, silver),
     }
-    return glossary.check_glossary(glossary.glossary(spark), gold).select(
-        "position", "category", "source_column", "filled_rows")
+    return glossary.check_glossary(glossary.glossary(spark), gold)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +16,11 @@ from wickline.registry.book import query
 from wickline.session import fresh_folder, staged
 from wickline.sources import landing, market, tables
 
-# Scenario: candles before MARK_DAY are loaded already; the load runs at NOW.
+# Scenario: the load runs during the last day of the candles; those before MARK_DAY are loaded already.
+# Every candle is in the source.
 MARK_DAY = "1998-07-01"
+CLOCK = timedelta(hours=13, minutes=47, seconds=31)
+# The time at which the stamps of the landing and lineage queries are set.
 NOW = datetime(2000, 6, 15, 13, 47, 31, tzinfo=timezone.utc)
 EARLIER = datetime(2000, 6, 14, 12, 0, 0, tzinfo=timezone.utc)
 _NOW_TEXT = "2000-06-15T13:47:31+00:00"
@@ -26,29 +29,31 @@ _EXCHANGE = S.BRONZE + """,
 best AS (SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY symbol_raw, open_time
            ORDER BY is_closed DESC, ingest_ts_utc DESC) AS rn FROM bronze) WHERE rn = 1),
-src AS (SELECT * FROM best WHERE open_time <= TIMESTAMP '2000-06-15 13:47:31'),
+src AS (SELECT * FROM best),
+clock AS (SELECT max(open_time) + INTERVAL '13:47:31' AS t FROM best),
 loaded AS (SELECT * FROM best WHERE open_time < TIMESTAMP '1998-07-01'),
 marks AS (SELECT symbol_raw, coalesce(max(close_time) FILTER (WHERE is_closed),
                  TIMESTAMP '2017-08-17') AS mark FROM loaded GROUP BY symbol_raw),
 confirmed AS (
-  SELECT s.* REPLACE (true AS is_closed, '2000-06-15T13:47:31+00:00' AS ingest_ts_utc)
-  FROM src s LEFT JOIN marks m USING (symbol_raw)
-  WHERE open_time >= coalesce(mark, TIMESTAMP '2017-08-17') AND open_time < TIMESTAMP '2000-06-15'),
+  SELECT s.* REPLACE (true AS is_closed, strftime(t, '%Y-%m-%dT%H:%M:%S+00:00') AS ingest_ts_utc)
+  FROM clock, src s LEFT JOIN marks m USING (symbol_raw)
+  WHERE open_time >= coalesce(mark, TIMESTAMP '2017-08-17') AND open_time < date_trunc('day', t)),
 running AS (
-  SELECT * EXCLUDE (rn) REPLACE (false AS is_closed, '2000-06-15T13:47:31+00:00' AS ingest_ts_utc)
-  FROM (SELECT *, row_number() OVER (PARTITION BY symbol_raw ORDER BY open_time DESC) AS rn FROM src)
-  WHERE rn = 1 AND close_time > TIMESTAMP '2000-06-15 13:47:31')"""
+  SELECT * EXCLUDE (rn, t) REPLACE (false AS is_closed, strftime(t, '%Y-%m-%dT%H:%M:%S+00:00') AS ingest_ts_utc)
+  FROM clock, (SELECT *, row_number() OVER (PARTITION BY symbol_raw ORDER BY open_time DESC) AS rn FROM src)
+  WHERE rn = 1 AND close_time > t)"""
 
 _BRONZE_COLUMNS = ("open_time, close_time, open, high, low, close, volume, num_trades, is_closed, "
                    "ingest_ts_utc, symbol_raw")
 
 
-def _exchange(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(candles the exchange shows at NOW, candles loaded so far)."""
+def _exchange(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, datetime]:
+    """(all candles of the exchange, candles loaded so far, time of the load)."""
     best = staged(merge.dedup_latest(
         market.bronze_candles(spark, folder), ingest.BRONZE_KEYS, ingest.BRONZE_ORDER))
-    src = best.where(F.col("open_time") <= F.lit(NOW))
-    return src, best.where(F.col("open_time") < F.lit(MARK_DAY).cast("timestamp"))
+    last = best.agg(F.unix_seconds(F.max("open_time"))).first()[0]
+    return (best, best.where(F.col("open_time") < F.lit(MARK_DAY).cast("timestamp")),
+            datetime.fromtimestamp(last, timezone.utc) + CLOCK)
 
 
 @query("normalize_klines", S.select(S.BRONZE, """
@@ -78,9 +83,12 @@ def read_landing(spark, folder):
     return landing.read_landing(spark, path)
 
 
-@query("high_water_mark", S.select(_EXCHANGE, "SELECT * FROM marks"))
+@query("high_water_mark", S.select(S.BRONZE, """
+SELECT symbol_raw, max(CASE WHEN is_closed THEN close_time ELSE TIMESTAMP '1000-01-01' END) AS mark
+FROM bronze GROUP BY symbol_raw"""))
 def high_water_mark(spark, folder):
-    return ingest.high_water_mark(_exchange(spark, folder)[1])
+    """Marks of all candles."""
+    return ingest.high_water_mark(market.bronze_candles(spark, folder))
 
 
 @query("safe_cutoff", "SELECT event_id, " + ", ".join(
@@ -94,15 +102,16 @@ def cutoffs(spark, folder):
 
 @query("confirmed_slice", S.select(_EXCHANGE, f"SELECT {_BRONZE_COLUMNS} FROM confirmed"))
 def confirmed_slice(spark, folder):
-    src, loaded = _exchange(spark, folder)
+    src, loaded, now = _exchange(spark, folder)
     rows = ingest.confirmed_slice(
-        src, ingest.high_water_mark(loaded), safe_cutoff(F.lit(NOW), "1d"))
-    return ingest.stamp_lineage(rows, NOW, True)
+        src, staged(ingest.high_water_mark(loaded), "marks"), safe_cutoff(F.lit(now), "1d"))
+    return ingest.stamp_lineage(rows, now, True)
 
 
 @query("open_slice", S.select(_EXCHANGE, f"SELECT {_BRONZE_COLUMNS} FROM running"))
 def open_slice(spark, folder):
-    return ingest.stamp_lineage(ingest.open_slice(_exchange(spark, folder)[0], NOW), NOW, False)
+    src, _, now = _exchange(spark, folder)
+    return ingest.stamp_lineage(ingest.open_slice(src, now), now, False)
 
 
 @query("stamp_lineage", S.select(S.BRONZE, f"""
@@ -122,8 +131,8 @@ SELECT {_BRONZE_COLUMNS},
                          AND l.open_time = n.open_time) THEN 'updated' ELSE 'inserted' END
 FROM landed n""".lstrip()))
 def incremental_load(spark, folder):
-    src, loaded = _exchange(spark, folder)
-    return ingest.incremental_load(src, loaded, NOW)
+    src, loaded, now = _exchange(spark, folder)
+    return ingest.incremental_load(src, loaded, now)
 
 
 # Merging the closed versions into a table of the open versions.
@@ -235,10 +244,24 @@ def merge_into_table(spark, folder):
     bronze = staged(market.bronze_candles(spark, folder))
     path = fresh_folder(spark, "table")
     rule = merge.later_version(ingest.BRONZE_ORDER, schemas.BRONZE.fieldNames())
-    for step, rows in enumerate([bronze.where(~F.col("is_closed")), bronze.where("is_closed")]):
+    for rows in (bronze.where(~F.col("is_closed")), bronze.where("is_closed")):
         tables.merge_into(
             spark, path, rows, schemas.BRONZE, keys=ingest.BRONZE_KEYS, time_col="open_time",
-            run_id=str(step), update_when=rule, grain="year")
+            update_when=rule, grain="year")
+    return tables.read_table(spark, path, schemas.BRONZE)
+
+
+@query("merge_rerun", S.select(_EXCHANGE, f"SELECT {_BRONZE_COLUMNS} FROM best"))
+def merge_rerun(spark, folder):
+    """Loads repeated in another order (first, second, first again) give the single deduplication."""
+    bronze = staged(market.bronze_candles(spark, folder))
+    path = fresh_folder(spark, "table")
+    rule = merge.later_version(ingest.BRONZE_ORDER, schemas.BRONZE.fieldNames())
+    running, closed = bronze.where(~F.col("is_closed")), bronze.where("is_closed")
+    for rows in (running, closed, running):
+        tables.merge_into(
+            spark, path, rows, schemas.BRONZE, keys=ingest.BRONZE_KEYS, time_col="open_time",
+            update_when=rule, grain="year")
     return tables.read_table(spark, path, schemas.BRONZE)
 
 

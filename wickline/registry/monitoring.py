@@ -6,10 +6,11 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from wickline.operators import monitor, summaries
+from wickline.operators import monitor
 from wickline.registry import sql as S
 from wickline.registry.book import query
-from wickline.sources import market
+from wickline.session import fresh_folder
+from wickline.sources import history, market
 
 TODAY = date(2024, 2, 10)
 
@@ -29,7 +30,10 @@ def _flat(history):
 
 @query("load_history", S.select(S.LOADS, f"SELECT {_FLAT} FROM loads"))
 def load_history(spark, folder):
-    return _flat(market.load_events(spark, folder))
+    """The events stored as a history and read back."""
+    path = fresh_folder(spark, "history")
+    history.append_loads(market.load_events(spark, folder), path)
+    return _flat(history.load_history(spark, path))
 
 
 @query("union_history", S.select(S.LOADS, f"SELECT {_FLAT} FROM loads"))
@@ -83,11 +87,10 @@ def volume_monthly(spark, folder):
     return monitor.volume_monthly(monitor.volume_daily(market.load_events(spark, folder)))
 
 
-@query("sort_multi", S.select(S.VOLUMES, "SELECT * FROM volumes ORDER BY day DESC, layer LIMIT 15"))
+@query("sort_multi", S.select(S.VOLUMES, "SELECT * FROM volumes ORDER BY day DESC, layer"))
 def latest_volumes(spark, folder):
-    """Report of the newest 15 rows of the daily volumes."""
-    volumes = monitor.volume_daily(market.load_events(spark, folder))
-    return summaries.top_k(volumes, [F.col("day").desc(), F.col("layer").asc()], 15)
+    """All daily volumes, the newest first."""
+    return monitor.latest_volumes(monitor.volume_daily(market.load_events(spark, folder)))
 
 
 @query("missing_loads", S.select(S.LOADS, """

@@ -104,19 +104,34 @@ def deviation(col: str, n: int, by: str = "symbol", on: str = "day") -> str:
             f"ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)")
 
 
-_W = "(PARTITION BY symbol ORDER BY day)"
 
-# Raw indicators of every closed candle, before rounding and gates.
+
+def tail_mean(col: str, n: int) -> str:
+    """Mean of the last ``n`` entries of a list, added from its front."""
+    last = f"{col}[greatest(len({col}) - {n - 1}, 1):]"
+    return f"(list_sum({last}) / len({last}))"
+
+
+# Raw indicators of every closed candle, before rounding and gates. Frames are lists gathered by a
+# join on row numbers; there is no sliding window.
 RAW = CLOSED + f""",
-lagged AS (
-  SELECT *, lag(close) OVER {_W} AS prev_close, row_number() OVER {_W} AS n FROM base),
-returns AS (SELECT *, ln(close / prev_close) AS log_return FROM lagged),
+counted AS (
+  SELECT a.symbol, a.day, count(*) AS n, max(b.close) AS top
+  FROM base a JOIN base b ON b.symbol = a.symbol AND b.day <= a.day GROUP BY a.symbol, a.day),
+placed AS (SELECT base.*, n, top FROM base JOIN counted USING (symbol, day)),
+stepped AS (
+  SELECT p.*, q.close AS prev_close, ln(p.close / q.close) AS log_return
+  FROM placed p LEFT JOIN placed q ON q.symbol = p.symbol AND q.n = p.n - 1),
+frames AS (
+  SELECT a.symbol, a.day, list(b.close ORDER BY b.n) AS cs, list(b.volume ORDER BY b.n) AS vs,
+         list(b.log_return ORDER BY b.n) AS rs
+  FROM stepped a JOIN stepped b ON b.symbol = a.symbol AND b.n BETWEEN a.n - 199 AND a.n
+  GROUP BY a.symbol, a.day),
 raw AS (
-  SELECT *, {mean('close', 7)} AS m7, {mean('close', 30)} AS m30, {mean('close', 50)} AS m50,
-         {mean('close', 200)} AS m200, {deviation('log_return', 30)} AS sd,
-         max(close) OVER (PARTITION BY symbol ORDER BY day ROWS UNBOUNDED PRECEDING) AS top,
-         {mean('volume', 30)} AS vm
-  FROM returns)"""
+  SELECT stepped.*, {tail_mean('cs', 7)} AS m7, {tail_mean('cs', 30)} AS m30, {tail_mean('cs', 50)} AS m50,
+         {tail_mean('cs', 200)} AS m200, {tail_mean('vs', 30)} AS vm,
+         list_stddev_samp(rs[greatest(len(rs) - 29, 1):]) AS sd
+  FROM stepped JOIN frames USING (symbol, day))"""
 
 CHANGES = (f"{rounded('close - prev_close', 2)} AS change_abs, "
            f"{rounded('(close / prev_close - 1) * 100', 4)} AS change_pct")
@@ -127,7 +142,7 @@ KIND = "CASE WHEN close >= open THEN 'up' ELSE 'down' END AS candle_type"
 AVERAGES = (f"{rounded('m7', 2)} AS ma7, CASE WHEN n >= 30 THEN {rounded('m30', 2)} END AS ma30, "
             f"CASE WHEN n >= 50 THEN {rounded('m50', 2)} END AS ma50, "
             f"CASE WHEN n >= 200 THEN {rounded('m200', 2)} END AS ma200")
-TREND = ("CASE WHEN n < 200 THEN NULL WHEN m50 > m200 THEN 'up' ELSE 'down' END "
+TREND = ("CASE WHEN n >= 200 THEN ['down', 'up'][1 + CAST(m50 > m200 AS INTEGER)] END "
          "AS trend_ma50_ma200")
 VOLATILITY = f"CASE WHEN n >= 31 THEN {rounded('sd * sqrt(365) * 100', 2)} END AS vol_30d_annual_pct"
 DRAWDOWN = (f"{rounded('top', 2)} AS running_max_close, "
@@ -170,17 +185,14 @@ gold_loads AS (
   WHERE tbl IN ('daily', 'monthly', 'weekday', 'kpi')
     AND operation IN ('CREATE OR REPLACE TABLE AS SELECT', 'CREATE TABLE AS SELECT'))"""
 
+# Every event is a load of one layer, except those that only rewrote files.
 VOLUMES = LOADS + f""",
 volumes AS (
-  SELECT CAST(executed_at AS DATE) AS day, 'silver' AS layer, count(*) AS runs,
-         CAST(sum(rows_inserted) AS BIGINT) AS rows_inserted,
-         CAST(sum(rows_updated) AS BIGINT) AS rows_updated,
-         {rounded('avg(duration_s)', 1)} AS mean_duration_s
-  FROM silver_loads GROUP BY CAST(executed_at AS DATE)
-  UNION ALL
-  SELECT CAST(executed_at AS DATE), 'gold', count(*), CAST(sum(rows) AS BIGINT),
-         CAST(NULL AS BIGINT), {rounded('avg(duration_s)', 1)}
-  FROM gold_loads GROUP BY CAST(executed_at AS DATE))"""
+  SELECT CAST(date_trunc('day', executed_at) AS DATE) AS day, if(tbl = 'silver', tbl, 'gold') AS layer,
+         count(*) AS runs, CAST(sum(moved) AS BIGINT) AS rows_inserted,
+         CAST(sum(if(tbl = 'silver', updated, NULL)) AS BIGINT) AS rows_updated,
+         {rounded('avg(ms / 1000.0)', 1)} AS mean_duration_s
+  FROM loads WHERE operation <> 'OPTIMIZE' GROUP BY ALL)"""
 
 
 def select(ctes: str, body: str) -> str:

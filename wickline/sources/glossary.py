@@ -46,16 +46,19 @@ def glossary(spark: SparkSession) -> DataFrame:
 
 
 def check_glossary(terms: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Each term with the filled rows of its source column, or NULL if no table has that column."""
-    filled = [
-        df.agg(*[F.count(c).alias(c) for c in df.columns])
-        .unpivot([], df.columns, "_column", "filled_rows")
-        .select(F.concat(F.lit(f"{name}."), "_column").alias("source_column"), "filled_rows")
-        for name, df in tables.items()
-    ]
-    known = filled[0]
-    for other in filled[1:]:
-        known = known.unionByName(other)
+    """Each term with the filled rows of its source column, or NULL if no table has that column.
+
+    Only the columns that the terms name are read. The glossary is a short static table; its column
+    names are looked at when the plan is built.
+    """
+    asked = {row[0] for row in terms.select("source_column").distinct().collect()}
+    known = terms.sparkSession.createDataFrame([], "source_column string, filled_rows bigint")
+    for name, df in tables.items():
+        columns = [c for c in df.columns if f"{name}.{c}" in asked]
+        if columns:
+            known = known.unionByName(
+                df.agg(*[F.count(c).alias(c) for c in columns])
+                .unpivot([], columns, "_column", "filled_rows")
+                .select(F.concat(F.lit(f"{name}."), "_column").alias("source_column"), "filled_rows"))
     # One row per column of the checked tables.
-    return terms.join(F.broadcast(known), "source_column", "left").select(
-        *terms.columns, "filled_rows")
+    return terms.join(F.broadcast(known), "source_column", "left").select(*terms.columns, "filled_rows")

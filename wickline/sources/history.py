@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wickline import schemas
 from wickline.sources.landing import read_or_empty
@@ -13,6 +14,17 @@ from wickline.sources.landing import read_or_empty
 LOCATION = "location"
 
 
+# Folder level below which the rows lie; readers of one table or time prune by it.
+MONTH = "month"
+
+
+def append_loads(rows: DataFrame, path: str) -> None:
+    """Append loads in the history's schema, by table and month."""
+    rows.select(*schemas.LOAD_HISTORY.fieldNames()).withColumns({
+        "for_table": F.col("table"), MONTH: F.date_format("executed_at", "yyyy-MM")}).write.mode(
+        "append").partitionBy("for_table", MONTH).parquet(path)
+
+
 def record_load(
     spark: SparkSession, path: str, table: str, operation: str, metrics: dict[str, object],
     executed_at: datetime | None = None,
@@ -20,15 +32,20 @@ def record_load(
     """Append one row. The time of the write is the clock's unless given: it orders the rebuilds."""
     executed_at = executed_at or datetime.now(timezone.utc)
     row = (table, executed_at, operation, {k: str(v) for k, v in metrics.items()})
-    spark.createDataFrame([row], schemas.LOAD_HISTORY).coalesce(1).write.mode("append").parquet(path)
+    append_loads(spark.createDataFrame([row], schemas.LOAD_HISTORY).coalesce(1), path)
 
 
 def load_history(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, path, schemas.LOAD_HISTORY)
+    return _read(spark, path).select(*schemas.LOAD_HISTORY.fieldNames())
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    parts = [T.StructField("for_table", T.StringType()), T.StructField(MONTH, T.StringType())]
+    return read_or_empty(spark, path, T.StructType([*schemas.LOAD_HISTORY.fields, *parts]))
 
 
-def current_location(history: DataFrame, table: str) -> str | None:
-    """Folder of the latest rebuild of ``table``."""
-    latest = history.where(F.col("table") == table).agg(
+def current_location(spark: SparkSession, path: str, table: str) -> str | None:
+    """Folder of the latest rebuild of ``table``; only that table's part of the history is read."""
+    latest = _read(spark, path).where(F.col("for_table") == table).agg(
         F.max_by(F.col("metrics")[LOCATION], "executed_at").alias("location"))
     return latest.first()["location"]

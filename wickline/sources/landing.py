@@ -1,7 +1,7 @@
 """Landing folder: Parquet partitioned by track and ingest date.
 
 The confirmed track only grows. The open track holds the current state of the running candles:
-each ingest date's part is replaced as a whole.
+a symbol's candles of an ingest date are replaced as a whole.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickline import schemas
+from wickline.operators.keys import join_null_safe
+from wickline.session import staged
 
 CONFIRMED, OPEN = "confirmed", "open"
 
@@ -46,8 +48,15 @@ def write_landing_confirmed(df: DataFrame, path: str) -> None:
 
 
 def write_landing_open(df: DataFrame, path: str) -> None:
-    """Replace the open candles of the ingest dates present in ``df``; other dates stay."""
-    _landed(df, OPEN).write.mode("overwrite").option("compression", "snappy").option(
+    """Replace the open candles of the symbols and ingest dates present in ``df``; all others stay."""
+    new = staged(_landed(df, OPEN), "open")
+    dates = [row[0] for row in new.select("ingest_date").distinct().collect()]
+    stored = read_or_empty(df.sparkSession, path, schemas.LANDING).where(
+        (F.col("track") == OPEN) & F.col("ingest_date").isin(dates))
+    others = join_null_safe(
+        stored, new.select("symbol_raw", "ingest_date").distinct(), ["symbol_raw", "ingest_date"], "left_anti")
+    # Staged: the folder cannot be read and overwritten in one plan.
+    staged(others.select(*new.columns).unionByName(new), "open").write.mode("overwrite").option("compression", "snappy").option(
         "partitionOverwriteMode", "dynamic").partitionBy("track", "ingest_date").parquet(path)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from wickline.operators.keys import names
 from wickline.operators.merge import SMALL_SOURCE_ROWS, merge_counts, merge_upsert_when
 from wickline.session import fits, staged
-from wickline.sources.landing import read_or_empty, read_or_none
+from wickline.sources.landing import read_or_empty
 
 # Folder names of the stored partitions.
 PART = "part"
@@ -87,6 +87,48 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return read_or_empty(spark, path, _stored(schema)).select(*schema.fieldNames())
 
 
+def _files(spark: SparkSession, path: str):
+    """(file system, path) of a folder, asked from the driver; every store that Spark writes to has one."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _files(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _files(spark, path)
+    files.delete(place, True)
+
+
+def _pending(path: str) -> str:
+    return f"{path}-pending"
+
+
+def _store(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> None:
+    """Replace the partitions of the table by the pending content, then forget that."""
+    rows = spark.read.schema(_stored(schema)).parquet(_pending(path))
+    # The range layout spreads a big period over many tasks and sorts it for skipping.
+    cluster_layout(rows, [PART, *keys]).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+    remove(spark, _pending(path))
+
+
+def finish_merge(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> None:
+    """Put right what a merge that died has left.
+
+    Pending content with Spark's completion marker is stored: as there is one writer and every merge
+    begins here, no later merge can have been stored since. Content without the marker is dropped;
+    the table was not touched yet.
+    """
+    if exists(spark, f"{_pending(path)}/_SUCCESS"):
+        _store(spark, path, schema, keys)
+    elif exists(spark, _pending(path)):
+        remove(spark, _pending(path))
+
+
 def merge_into(
     spark: SparkSession,
     path: str,
@@ -95,7 +137,6 @@ def merge_into(
     *,
     keys: Sequence[str],
     time_col: str,
-    run_id: str,
     update_when: Column | None = None,
     grain: str = "month",
 ) -> dict[str, int]:
@@ -103,25 +144,35 @@ def merge_into(
 
     The table is partitioned by ``grain`` of ``time_col``, which the keys determine. Only
     partitions present in the source are read and rewritten. Their new content is first written
-    whole to ``run_id``'s own folder beside the table; then it replaces those partitions. If the
-    job dies in between, calling again with the same ``run_id`` repeats only the second step, so
-    no partition can be lost. One writer at a time; a run id is never used again for other rows.
+    whole to a pending folder beside the table; then it replaces those partitions. A job that dies
+    in between is put right by the next merge (``finish_merge``). Every merge is computed against
+    the table as it is, so repeating one, also an older one, gives what its rule says and never
+    brings old content back. One writer at a time.
     """
-    result = f"{path}-merges/{run_id}"
+    finish_merge(spark, path, schema, keys)
     stored = _stored(schema)
     changed = T.StructType([*stored.fields, T.StructField("_change", T.StringType())])
-    merged = read_or_none(spark, result, changed)
-    if merged is None:
-        source = staged(_parted(conform(source, schema), time_col, grain), "source")
-        # One value per calendar period of the source: small whatever the number of rows.
-        parts = [row[0] for row in source.select(PART).distinct().collect()]
-        target = read_or_empty(spark, path, stored).where(F.col(PART).isin(parts))
-        merge_upsert_when(
-            target, source, [*keys, PART], update_when, fits(source, SMALL_SOURCE_ROWS)
-        ).write.parquet(result)
-        merged = spark.read.schema(changed).parquet(result)
+    source = staged(_parted(conform(source, schema), time_col, grain), "source")
+    # One value per calendar period of the source: small whatever the number of rows.
+    parts = [row[0] for row in source.select(PART).distinct().collect()]
+    target = read_or_empty(spark, path, stored).where(F.col(PART).isin(parts))
+    merge_upsert_when(
+        target, source, [*keys, PART], update_when, fits(source, SMALL_SOURCE_ROWS)
+    ).write.parquet(_pending(path))
+    merged = spark.read.schema(changed).parquet(_pending(path))
     counts = merge_counts(merged).first().asDict()
-    # The range layout spreads a big period over many tasks and sorts it for skipping.
-    cluster_layout(merged.drop("_change"), [PART, *keys]).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+    _store(spark, path, schema, keys)
     return counts
+
+
+def rows_of_days(
+    spark: SparkSession, path: str, schema: T.StructType, days: DataFrame, by: dict[str, Column],
+    time_col: str, grain: str = "month",
+) -> DataFrame:
+    """Stored rows whose values of the expressions ``by`` occur in ``days`` (distinct rows of the same
+    names, with ``PART``): only the partitions named there are read."""
+    parts = [row[0] for row in days.select(PART).distinct().collect()]
+    rows = read_or_empty(spark, path, _stored(schema)).where(F.col(PART).isin(parts))
+    marked = rows.withColumns({f"_{name}": value for name, value in by.items()})
+    wanted = days.select(*[F.col(name).alias(f"_{name}") for name in by]).distinct()
+    return marked.join(wanted, [f"_{name}" for name in by], "left_semi").select(*schema.fieldNames())

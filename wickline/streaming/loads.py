@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wickline import schemas
 from wickline.plans.lake import Lake
-from wickline.plans.refresh import refresh_bronze, refresh_gold, refresh_silver
+from wickline.plans.refresh import landed_days, refresh_bronze, refresh_gold, refresh_silver
 from wickline.session import staged
 
 
@@ -66,13 +66,17 @@ def stream_bronze_to_gold(
     spark: SparkSession, lake: Lake, checkpoint: str, name: str, as_of: datetime,
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Per batch of landed files: bronze, then silver, then gold. A failing step stops the batch."""
+    """Per batch of landed files: bronze, then silver, then gold. A failing step stops the batch.
+
+    Silver reads the winning bronze versions of the days that the batch touches, so it is the table
+    that the batch refreshes give.
+    """
 
     def load(df: DataFrame, run: str) -> None:
         session = df.sparkSession
         landed = staged(df, "batch")
         refresh_bronze(session, lake, landed, run, as_of)
-        refresh_silver(session, lake, run, as_of, landed.select(*schemas.BRONZE.fieldNames()))
+        refresh_silver(session, lake, run, as_of, landed_days(session, lake, landed))
         refresh_gold(session, lake, run, as_of)
 
     return _run(_landed(spark, lake, files_per_batch), checkpoint, name, load)
