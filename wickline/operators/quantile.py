@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickline.operators.keys import join_null_safe, names
+from wickline.operators.keys import attach, names
 from wickline.operators.series import ordered_positions, split_by_size
 from wickline.session import staged
 
@@ -25,7 +25,7 @@ def ranked_median(
     """
     values = values.where(F.col(col).isNotNull()).select(*by, col, *spread)
     sizes = staged(values.groupBy(*by).agg(F.count("*").alias("_n")), "sizes")
-    ranked = join_null_safe(ordered_positions(values, by, [col, *spread], "_rank"), sizes, by, "inner")
+    ranked = attach(ordered_positions(values, by, [col, *spread], "_rank"), sizes, by, F.col("_rank"))
     low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
     middle = ranked.where((F.col("_rank") == low) | (F.col("_rank") == high))
     # Same interpolation as percentile at 0.5: half of the lower value plus half of the upper.

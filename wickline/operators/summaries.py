@@ -13,6 +13,7 @@ from wickline.functions.clock import month_start
 from wickline.operators.keys import attach, join_null_safe
 from wickline.operators.quantile import BUFFER_ROWS, ranked_median
 from wickline.operators.series import split_by_size
+from wickline.session import staged
 
 
 def monthly_summary(daily: DataFrame) -> DataFrame:
@@ -65,7 +66,8 @@ def weekday_seasonality(daily: DataFrame, buffer_rows: int = BUFFER_ROWS) -> Dat
 def join_ref_date(daily: DataFrame, *extra: Column) -> DataFrame:
     """Attach each symbol's last day, ``ref_day`` (and further per-symbol aggregates), to its rows."""
     ref = daily.groupBy("symbol").agg(F.max("day").alias("ref_day"), *extra)
-    return attach(daily, ref, "symbol", F.col("day"))
+    # One row per symbol; staged, so that Spark knows its size when it chooses the join.
+    return attach(daily, staged(ref, "ref"), "symbol", F.col("day"))
 
 
 def _last_until(col: str, reached: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wickline.operators import merge, quality
+from wickline.operators import ingest, merge, quality
 from wickline.operators.ingest import BRONZE_KEYS, BRONZE_ORDER
 from wickline.registry import sql as S
 from wickline.registry.book import query
@@ -187,6 +187,54 @@ def declare_table(spark, folder):
     name = "wickline_" + path.rsplit("-", 1)[1]
     tables.declare_table(spark, name, schemas.SILVER, "cleaned candles", path)
     tables.conform(_silver(spark, folder), schemas.SILVER).write.insertInto(name)
-    return spark.table(name).groupBy("symbol").agg(
+    counted = staged(spark.table(name).groupBy("symbol").agg(
         F.count("*").alias("candles"), F.min("day").alias("first_day"),
-        F.max("day").alias("last_day"))
+        F.max("day").alias("last_day")), "counted")
+    spark.sql(f"DROP TABLE {name}")
+    return counted
+
+
+@query("create_schema", S.select(S.SILVER, "SELECT count(*) AS candles FROM silver"))
+def create_schema(spark, folder):
+    """Silver rows stored in a table of a schema of its own, counted by their full name."""
+    path = fresh_folder(spark, "declared")
+    schema = "wickline_" + path.rsplit("-", 1)[1]
+    tables.create_schema(spark, schema, "candles")
+    tables.declare_table(spark, f"{schema}.silver", schemas.SILVER, "cleaned candles", path)
+    tables.conform(_silver(spark, folder), schemas.SILVER).write.insertInto(f"{schema}.silver")
+    counted = staged(spark.table(f"{schema}.silver").agg(F.count("*").alias("candles")), "counted")
+    spark.sql(f"DROP SCHEMA {schema} CASCADE")
+    return counted
+
+
+@query("insert_literals", """
+SELECT n_nationkey AS id, n_name AS name FROM nation UNION ALL SELECT * FROM (VALUES (900, 'Nowhere'), (901, NULL))""")
+def insert_literals(spark, folder):
+    """Two rows of literals appended to the nations."""
+    nations = market.table(spark, folder, "nation").selectExpr(
+        "CAST(n_nationkey AS INT) AS id", "n_name AS name")
+    return tables.insert_literals(nations, [(900, "Nowhere"), (901, None)])
+
+
+# Every fifth month's page is cut short, every third candle day of a month has a price that is no number.
+_FAULTY_PAGES = S.BRONZE + """,
+paged AS (
+  SELECT *, month(open_time) % 5 = 0 AS cut, dayofmonth(open_time) % 3 = 0 AS worded FROM bronze)"""
+
+
+@query("faulty_klines", S.select(_FAULTY_PAGES, """
+SELECT symbol_raw, is_closed, 'unreadable page' AS fault, count(DISTINCT date_trunc('month', open_time)) AS faults
+FROM paged WHERE cut GROUP BY symbol_raw, is_closed
+UNION ALL
+SELECT symbol_raw, is_closed, 'unreadable value', count(*) FROM paged WHERE worded AND NOT cut
+GROUP BY symbol_raw, is_closed"""))
+def faulty_klines(spark, folder):
+    """Pages that are no JSON and klines with an unreadable value, counted by their fault."""
+    text = F.col("close").cast("string")
+    worded = market.bronze_candles(spark, folder).withColumn("close", F.when(
+        F.dayofmonth("open_time") % 3 == 0, F.lit("none")).otherwise(text))
+    pages = market.kline_pages(worded)
+    page = F.col("page")
+    cut = F.when(F.month("page_month") % 5 == 0, F.substring("page", 1, 9)).otherwise(page)
+    faults = ingest.faulty_klines(pages.withColumn("page", cut), "page")
+    return faults.groupBy("symbol_raw", "is_closed", "fault").agg(F.count("*").alias("faults"))
