@@ -21,7 +21,7 @@ MARGIN = 0.25
 SKETCH_BITS = 12
 # A document keeps all its lines when removal would leave less than one part in this many of its
 # bytes: it is itself a copy, which is the business of document deduplication.
-MIN_KEPT = 4
+MIN_KEPT = 2
 BLANKS = " \t\r"
 
 _LINE = ["_h1", "_h2"]
