@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",
@@ -16,7 +17,7 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin the settings on which results depend (UTC days, microsecond files) and adaptive plans."""
+    """Pin the settings on which results depend (ANSI casts, UTC days, microsecond files), adaptive plans."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -26,13 +27,14 @@ _local_folder: str | None = None
 
 
 def work_folder(spark: SparkSession) -> str:
-    """Folder that every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
+    """Folder that every executor can reach, named by the cluster in ``spark.checkpoint.dir`` (or set
+    with ``setCheckpointDir``).
 
     Only a ``local`` master may fall back to a folder of this machine; elsewhere a missing
     setting is an error, because staged tables must survive the loss of an executor.
     """
     global _local_folder
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
