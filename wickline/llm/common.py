@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,8 +29,18 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+# The folder that holds the package, for the workers of a session that was started elsewhere.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """Session settings of the operators: those of the library, and small Arrow batches."""
+    """Session settings of the operators: those of the library, and small Arrow batches.
+
+    Workers import the package by its name: they find it where it is installed, or at the driver's path.
+    """
+    own = spark.sparkContext.environment
+    if ROOT not in own.get("PYTHONPATH", "").split(os.pathsep):
+        own["PYTHONPATH"] = os.pathsep.join(p for p in (own.get("PYTHONPATH"), ROOT) if p)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return configure(spark)
@@ -52,6 +63,7 @@ def text_key(column: Column) -> Column:
 def map_arrow(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
+    prepared(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
@@ -188,7 +200,7 @@ def without(docs: DataFrame, bad: DataFrame, doc: str = "doc_id", text: str = "t
     A filter of fixed size passes the rows that are certainly not listed; only the others, nearly as
     few as the listed ones, meet the list in a join. A list that fills the filter joins more rows.
     """
-    spark = docs.sparkSession
+    spark = prepared(docs.sparkSession)
     bad = staged(bad.select(doc, "text_key", F.xxhash64(doc, "text_key").alias("_key")), "listed")
     shared = spark.sparkContext.broadcast(key_filter(bad, "_key"))
 

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickline.llm.common import mix, table, text_bytes
+from wickline.llm.common import mix, prepared, table, text_bytes
 from wickline.operators.series import ordered_positions
 
 SHARDS = 16
@@ -59,6 +59,7 @@ def sharded(df: DataFrame, key: str, text: str, shards: int = SHARDS) -> DataFra
     differ by a spread column there, which only tells equal rows apart. Other columns are dropped,
     whatever their names. An empty table gives no rows.
     """
+    prepared(df.sparkSession)
     rows = df.select(
         F.col(key).alias("_key"),
         (text_bytes(F.col(text)) + 1).cast("bigint").alias("size"),

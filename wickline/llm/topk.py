@@ -130,6 +130,7 @@ def top_k(
     with zeros. With fewer vectors all are returned; an empty table gives no rows. See ``codes`` for
     NULLs and repeated ids. Extra columns play no part. A score beyond 64 bits raises an error.
     """
+    prepared(df.sparkSession)
     rows = codes(df, key, vector, scale)
     n, width = rows.agg(F.count("*"), F.coalesce(F.max(F.size("codes")), F.lit(0))).first()
     asked = rows.where(F.pmod("id", F.lit(step)) == 0)
