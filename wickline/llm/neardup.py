@@ -263,10 +263,15 @@ def _cross_pairs(index: DataFrame, nodes: DataFrame) -> DataFrame:
     open_ones = held.groupBy("shingle").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
     held = staged(held.join(staged(open_ones, "open"), "shingle", "left_semi"), "open-rows")
-    ones = held.groupBy("shingle", "component").agg(F.count("*").alias("rows"))
+    # What the best pair of two components could be decides whether any of their pairs is looked at.
+    ones = held.groupBy("shingle", "component").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("rest"))
     ones = staged(ones, "open-components")
-    met = ones.selectExpr("shingle", "component AS c").join(
-        ones.selectExpr("shingle", "component AS d"), "shingle").where("c < d")
+    left, right = (ones.selectExpr("shingle", f"component AS {c}", f"low AS low_{c}", f"high AS high_{c}",
+                                   f"rest AS rest_{c}") for c in ("c", "d"))
+    possible = (f"c < d AND 100 * high_c >= {PERCENT} * low_d AND 100 * high_d >= {PERCENT} * low_c "
+                f"AND {100 + PERCENT} * least(rest_c, rest_d) >= {PERCENT} * (low_c + low_d)")
+    met = left.join(right, "shingle").where(possible).select("shingle", "c", "d")
     sides = [held.selectExpr("shingle", f"component AS {c}", f"node AS {v}", f"n AS n{v}", f"place AS p{v}")
              for c, v in (("c", "a"), ("d", "b"))]
     pairs = met.join(sides[0], ["shingle", "c"]).join(sides[1], ["shingle", "d"])
@@ -305,10 +310,12 @@ def near_duplicates(
         F.col("s.shingles").alias("shingle"), F.col("s.places").alias("place"), "n", "leader")
     index = staged(index, "index")
 
-    # First round: the leader of a shingle and size band, and of the band above.
+    # First round: the leader of a shingle and size band, and of the band above. It is the group in
+    # which the fewest rarer shingles come before this one, so the one with the fewest changes.
     band = F.floor(F.log(100 / PERCENT, F.col("n").cast("double"))).cast("int")
-    banded = index.select("shingle", "leader", band.alias("band"))
-    heads = staged(banded.groupBy("shingle", "band").agg(F.min("leader").alias("head")), "heads")
+    banded = index.select("shingle", "place", "leader", band.alias("band"))
+    heads = banded.groupBy("shingle", "band").agg(F.min(F.struct("place", "leader")).alias("head"))
+    heads = staged(heads.select("shingle", "band", F.col("head.leader").alias("head")), "heads")
     asked = banded.select("shingle", "leader", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
     votes = asked.join(heads, ["shingle", "band"]).where("leader <> head").groupBy(
         "leader", "head").agg(F.count("*").alias("votes"))
