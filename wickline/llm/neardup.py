@@ -271,11 +271,15 @@ def _cross_pairs(index: DataFrame, nodes: DataFrame) -> DataFrame:
                                    f"rest AS rest_{c}") for c in ("c", "d"))
     possible = (f"c < d AND 100 * high_c >= {PERCENT} * low_d AND 100 * high_d >= {PERCENT} * low_c "
                 f"AND {100 + PERCENT} * least(rest_c, rest_d) >= {PERCENT} * (low_c + low_d)")
-    met = left.join(right, "shingle").where(possible).select("shingle", "c", "d")
+    met = left.join(right, "shingle").where(possible).select("shingle", "c", "d", "low_d", "high_d", "rest_d")
     sides = [held.selectExpr("shingle", f"component AS {c}", f"node AS {v}", f"n AS n{v}", f"place AS p{v}")
              for c, v in (("c", "a"), ("d", "b"))]
-    pairs = met.join(sides[0], ["shingle", "c"]).join(sides[1], ["shingle", "d"])
-    pairs = pairs.where(f"NOT ({_far_apart('na', 'nb')})").where(
+    # A member of one component is kept if the best member of the other could be similar to it.
+    one = met.join(sides[0], ["shingle", "c"]).where(
+        f"100 * na >= {PERCENT} * low_d AND 100 * high_d >= {PERCENT} * na "
+        f"AND {100 + PERCENT} * least(na - pa, rest_d) >= {PERCENT} * (na + low_d)")
+    pairs = one.drop("low_d", "high_d", "rest_d").join(sides[1], ["shingle", "d"]).where(
+        f"NOT ({_far_apart('na', 'nb')})").where(
         f"{100 + PERCENT} * least(na - pa, nb - pb) >= {PERCENT} * (na + nb)")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
