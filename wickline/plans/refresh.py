@@ -6,13 +6,14 @@ Times stored in the tables are arguments; only the load history takes its times
 from __future__ import annotations
 
 import time
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wickline import schemas
-from wickline.operators.indicators import daily_indicators
+from wickline.operators.indicators import HALO, daily_indicators, daily_tail
 from wickline.operators.ingest import (
     BRONZE_KEYS, BRONZE_ORDER, both_tracks, faulty_klines, normalize_klines,
 )
@@ -20,7 +21,8 @@ from wickline.operators.merge import (
     DURATION_MS, OUTPUT_ROWS, dedup_latest, later_version, newer_or_closing,
     newer_or_closing_protected, split_null_keys,
 )
-from wickline.operators.monitor import GOLD_TABLES, MERGE_OPERATION, REBUILD_OPERATIONS, SILVER_TABLE
+from wickline.operators.keys import attach
+from wickline.operators.monitor import MERGE_OPERATION, REBUILD_OPERATIONS, SILVER_TABLE
 from wickline.operators.quality import (
     clean_candles, clean_symbol, latest_versions, load_check, missing_days, quality_reason,
     series_completeness, silver_rows, split_valid_rejected, store_rejects, typed_candles,
@@ -32,7 +34,9 @@ from wickline.sources.history import LOCATION, current_location, record_load
 from wickline.sources.landing import (
     read_or_empty, write_landing_confirmed, write_landing_open,
 )
-from wickline.sources.tables import PART, merge_into, read_table, replace_table, rows_of_days
+from wickline.sources.tables import (
+    PART, exists, finish_merge, merge_into, read_table, replace_periods, replace_table, rows_of_days,
+)
 
 
 def _milliseconds(since: float) -> int:
@@ -58,16 +62,24 @@ def land_pages(
     land(spark, lake, normalize_klines(pages, json_col, symbol), as_of, interval)
 
 
+def _day() -> dict[str, Column]:
+    return {"symbol": clean_symbol(), "day": F.to_date("open_time")}
+
+
+def touched_days(landed: DataFrame) -> DataFrame:
+    """Distinct (symbol, day) of bronze rows, as silver names them."""
+    return landed.where(F.col("open_time").isNotNull()).select(
+        *[value.alias(name) for name, value in _day().items()]).distinct()
+
+
 def landed_days(spark: SparkSession, lake: Lake, landed: DataFrame, grain: str = "month") -> DataFrame:
     """The bronze rows of every symbol and day that ``landed`` touches.
 
     Bronze has the winning versions: silver fed with these gets what a refresh from all of bronze gives.
     """
-    by = {"symbol": clean_symbol(), "day": F.to_date("open_time")}
-    days = landed.where(F.col("open_time").isNotNull()).select(
-        *[value.alias(name) for name, value in by.items()],
-        F.to_date(F.date_trunc(grain, "open_time")).alias(PART)).distinct()
-    return rows_of_days(spark, lake.bronze, schemas.BRONZE, staged(days, "days"), by, "open_time", grain)
+    days = staged(touched_days(landed).withColumn(
+        PART, F.to_date(F.date_trunc(grain, "day"))), "days")
+    return rows_of_days(spark, lake.bronze, schemas.BRONZE, days, _day(), "open_time", grain)
 
 
 def check_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -136,20 +148,78 @@ def refresh_silver(
     return counts
 
 
-def refresh_gold(spark: SparkSession, lake: Lake, run_id: str, as_of: datetime) -> dict[str, DataFrame]:
-    """Rebuild daily, monthly, weekday and KPI tables. The summaries read the stored daily table."""
+def _daily_path(lake: Lake) -> str:
+    return f"{lake.gold('daily')}/table"
+
+
+def _first_context(stored: DataFrame, since: DataFrame, grain: str) -> date | None:
+    """First stored period that a recomputation from ``since`` on may need, over all its symbols.
+
+    Counts rows per symbol and period (two columns are read) and goes back, period by period, until
+    ``HALO`` rows lie before the period of the first change.
+    """
+    month = F.trunc("since", grain)
+    counts = stored.groupBy("symbol", PART).agg(F.count("*").alias("rows"))
+    before = counts.join(since, "symbol").where(F.col(PART) < month)
+    later = Window.partitionBy("symbol").orderBy(F.col(PART).desc())
+    needed = before.withColumn("_newer", F.sum("rows").over(later) - F.col("rows")).where(
+        F.col("_newer") < HALO)
+    first = needed.select(F.col(PART).alias("m")).unionByName(since.select(month.alias("m")))
+    return first.agg(F.min("m")).first()[0]
+
+
+def _refresh_daily(
+    spark: SparkSession, lake: Lake, silver: DataFrame, as_of: datetime, changed: DataFrame | None,
+    grain: str,
+) -> DataFrame:
+    """Store the daily table and return it: whole, or from the first changed period on."""
+    path = _daily_path(lake)
+    recipe = daily_indicators(silver, as_of)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in recipe.schema])
+    options = dict(keys=["symbol", "day"], time_col="day", grain=grain)
+    finish_merge(spark, path, schema, options["keys"])
+    if changed is None or not exists(spark, path):
+        replace_periods(spark, path, recipe, schema, **options)
+    else:
+        since = staged(changed.where("symbol IS NOT NULL AND day IS NOT NULL").groupBy("symbol").agg(
+            F.min("day").alias("since")), "since")
+        start = since.agg(F.min("since")).first()[0]
+        if start is not None:
+            stored = read_or_empty(spark, path, T.StructType([*schema.fields, T.StructField(PART, T.DateType())]))
+            context = stored.where(F.col(PART) >= F.lit(_first_context(stored, since, grain)))
+            tail = daily_tail(silver.where(F.col("day") >= F.lit(start)), context.drop(PART), since, as_of)
+            touched = stored.where(F.col(PART) >= F.trunc(F.lit(start), grain)).drop(PART)
+            kept = attach(touched, since, "symbol", F.col("day"), "left").where(
+                F.col("since").isNull() | (F.col("day") < F.col("since"))).drop("since")
+            rows = staged(kept.unionByName(tail.select(*kept.columns)), "tail")
+            replace_periods(spark, path, rows, schema, since=start, **options)
+    return read_table(spark, path, schema)
+
+
+def refresh_gold(
+    spark: SparkSession, lake: Lake, run_id: str, as_of: datetime, changed: DataFrame | None = None,
+    grain: str = "month",
+) -> dict[str, DataFrame]:
+    """Refresh daily, monthly, weekday and KPI tables. The summaries read the stored daily table.
+
+    ``changed`` has the (symbol, day) pairs of silver that may have changed since the last refresh.
+    The daily table is then recomputed from each symbol's first changed day on, and only its periods
+    from the first of them are read and rewritten; without it, all of it is. The rows kept bear the
+    time of the refresh that computed them. The summaries are aggregates and are rebuilt.
+    """
     silver = read_table(spark, lake.silver, schemas.SILVER)
-    built: dict[str, DataFrame] = {}
+    began = time.monotonic()
+    built: dict[str, DataFrame] = {"daily": _refresh_daily(spark, lake, silver, as_of, changed, grain)}
+    record_load(
+        spark, lake.history, "daily", REBUILD_OPERATIONS[0],
+        {OUTPUT_ROWS: built["daily"].count(), DURATION_MS: _milliseconds(began), LOCATION: _daily_path(lake)})
     recipes = {
-        "daily": lambda: daily_indicators(silver, as_of),
         "monthly": lambda: monthly_summary(built["daily"]),
         "weekday": lambda: weekday_seasonality(built["daily"]),
         "kpi": lambda: kpi_snapshot(built["daily"], silver, as_of),
     }
-    for name in GOLD_TABLES:
+    for name in recipes:
         began = time.monotonic()
-        # Written as the windows leave it, grouped by symbol and in the order of days: a range layout
-        # would compute the windows twice, once for its sample.
         folder = replace_table(recipes[name](), lake.gold(name), run_id)
         built[name] = spark.read.parquet(folder)
         record_load(
@@ -162,7 +232,7 @@ def read_gold(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     folder = current_location(spark, lake.history, table)
     if folder is None:
         raise LookupError(f"no {table} table has been built in {lake.root}")
-    return spark.read.parquet(folder)
+    return spark.read.parquet(folder).drop(PART)
 
 
 def silver_of(bronze: DataFrame, as_of: datetime | None = None) -> DataFrame:

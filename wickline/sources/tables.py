@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -165,6 +166,29 @@ def merge_into(
     return counts
 
 
+def replace_periods(
+    spark: SparkSession, path: str, rows: DataFrame, schema: T.StructType, *, keys: Sequence[str],
+    time_col: str, since: date | None = None, grain: str = "month",
+) -> None:
+    """Replace the periods from the one of ``since`` on (all, if None) by ``rows``, which hold them whole.
+
+    Same protocol as a merge: the content is pending until it is stored. Periods left without a row
+    are removed.
+    """
+    finish_merge(spark, path, schema, keys)
+    _parted(conform(rows, schema), time_col, grain).write.parquet(_pending(path))
+    written = spark.read.schema(_stored(schema)).parquet(_pending(path)).select(PART).distinct()
+    # Calendar periods: few, whatever the number of rows.
+    present = {row[0] for row in written.collect()}
+    held = read_or_empty(spark, path, _stored(schema)).select(PART).distinct()
+    if since is not None:
+        held = held.where(F.col(PART) >= F.date_trunc(grain, F.lit(since)).cast("date"))
+    gone = [row[0] for row in held.collect() if row[0] not in present]
+    _store(spark, path, schema, keys)
+    for part in gone:
+        remove(spark, f"{path}/{PART}={part}")
+
+
 def rows_of_days(
     spark: SparkSession, path: str, schema: T.StructType, days: DataFrame, by: dict[str, Column],
     time_col: str, grain: str = "month",

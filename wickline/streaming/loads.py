@@ -15,7 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wickline import schemas
 from wickline.plans.lake import Lake
-from wickline.plans.refresh import landed_days, refresh_bronze, refresh_gold, refresh_silver
+from wickline.plans.refresh import (
+    landed_days, refresh_bronze, refresh_gold, refresh_silver, touched_days,
+)
 from wickline.session import staged
 
 
@@ -77,6 +79,6 @@ def stream_bronze_to_gold(
         landed = staged(df, "batch")
         refresh_bronze(session, lake, landed, run, as_of)
         refresh_silver(session, lake, run, as_of, landed_days(session, lake, landed))
-        refresh_gold(session, lake, run, as_of)
+        refresh_gold(session, lake, run, as_of, touched_days(landed))
 
     return _run(_landed(spark, lake, files_per_batch), checkpoint, name, load)
