@@ -375,3 +375,28 @@ def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def query(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), "doc_id", "text").select(
         "doc_id", "n_shingles", "component_id")
+
+
+CHECK = f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT DISTINCT rid, array_to_string(w[i:i + least({SHINGLE}, len(w)) - 1], ' ') AS s
+  FROM docs, unnest(range(1, greatest(len(w) - {SHINGLE} + 1, 1) + 1)) u(i) WHERE len(w) > 0),
+sizes AS (SELECT rid, count(*) AS n FROM sets GROUP BY rid),
+met AS (
+  SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.rid <> b.rid GROUP BY ALL),
+links AS (
+  SELECT x, y FROM met JOIN sizes p ON p.rid = x JOIN sizes q ON q.rid = y
+  WHERE 100 * c >= {PERCENT} * (p.n + q.n - c)),
+reach AS (
+  SELECT rid AS a, rid AS b FROM sizes
+  UNION
+  SELECT reach.a, links.y FROM reach JOIN links ON links.x = reach.b),
+least_ids AS (SELECT a AS rid, min(doc_id) AS component_id FROM reach JOIN docs ON docs.rid = reach.b GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles,
+  CASE WHEN n IS NULL THEN doc_id ELSE component_id END AS component_id
+FROM docs LEFT JOIN sizes USING (rid) LEFT JOIN least_ids USING (rid)
+"""

@@ -21,6 +21,8 @@ CHECKS = {
     "op2_decontamination": contamination.CHECK,
     "op3_top_k": topk.CHECK,
     "op4_sharding": shards.CHECK,
+    "op6_secrets": secrets.CHECK,
     "op7_line_dedup": lines.CHECK,
     "op8_warc": archives.CHECK,
+    "op9_jaccard_join": neardup.CHECK,
 }

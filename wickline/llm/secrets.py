@@ -177,3 +177,57 @@ def query(spark: SparkSession, folder: str) -> DataFrame:
     found = scanned(table(spark, folder, "documents").select("doc_id", "text"), "text")
     return found.select("doc_id", "n_assign", "n_access", "n_hex",
                         F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _found(kind: str, pattern: str, keep: str = "true") -> str:
+    """Matches of a pattern with their places: each starts after all earlier pieces and matches."""
+    return f"""
+  SELECT rid, '{kind}' AS kind, value, start, start + length(value) AS stop FROM (
+    SELECT rid, vs[i] AS value, gs[i] AS long_part,
+      list_sum(list_transform(pieces[1:i], lambda p: length(p))) +
+      coalesce(list_sum(list_transform(vs[1:i - 1], lambda p: length(p))), 0) AS start
+    FROM (SELECT rid, regexp_extract_all(t, {_quoted(pattern)}) AS vs,
+                 regexp_extract_all(t, {_quoted(pattern)}, {2 if kind == 'assign' else 0}) AS gs,
+                 string_split_regex(t, {_quoted(pattern)}) AS pieces FROM docs), unnest(range(1, len(vs) + 1)) u(i))
+  WHERE {keep}"""
+
+
+_ORDER = "list_position(['" + "', '".join(KINDS) + "'], kind)"
+# The look-aheads of the character classes as separate tests.
+CHECK = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+base AS ({_found('assign', ASSIGN, f'length(long_part) >= {ASSIGN_LENGTH}')}
+  UNION ALL {_found('access', ACCESS)} UNION ALL {_found('hex', HEX)}),
+candidates AS ({_found('candidate', CANDIDATE, f"NOT regexp_matches(value, {_quoted(ALLOWED)})")}),
+classed AS (
+  SELECT rid, value, start, regexp_matches(value, '^[0-9A-Fa-f]+$') AND regexp_matches(value, '[0-9]')
+    AND regexp_matches(value, '[A-Fa-f]') AS is_hex FROM candidates
+  WHERE regexp_matches(value, '[0-9]') AND (regexp_matches(value, '^[0-9A-Fa-f]+$') AND regexp_matches(value, '[A-Fa-f]')
+    OR regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]'))),
+letters AS (
+  SELECT rid, start, is_hex, w, value[w + k] AS c, count(*) AS n
+  FROM classed, unnest(range(0, length(value) - {WINDOW} + 1)) a(w), unnest(range(1, {WINDOW} + 1)) b(k) GROUP BY ALL),
+windows AS (
+  SELECT rid, start, is_hex, w, sum(round({UNITS} * n * log2(n))) AS total FROM letters GROUP BY ALL),
+hot AS (
+  SELECT rid, if(is_hex, '{CLASSES[0].kind}', '{CLASSES[1].kind}') AS kind, start + min(w) AS start,
+    start + max(w) + {WINDOW} AS stop FROM windows
+  WHERE total <= floor({UNITS} * {WINDOW} * (log2({WINDOW}) - if(is_hex, {CLASSES[0].bits}, {CLASSES[1].bits})))
+  GROUP BY rid, start, is_hex),
+fresh AS (FROM hot h WHERE NOT EXISTS (
+  FROM base b WHERE b.rid = h.rid AND b.start <= h.start AND h.stop <= b.stop)),
+counts AS (
+  SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, {_ORDER}) AS base FROM base GROUP BY rid),
+every AS (
+  SELECT rid, string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, {_ORDER}) AS spans
+  FROM (SELECT rid, kind, start, stop FROM base UNION ALL FROM fresh) GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN counts USING (rid) LEFT JOIN every USING (rid)
+"""
