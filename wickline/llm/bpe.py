@@ -27,7 +27,7 @@ from wickline.llm.common import map_arrow, prepared, sliced, span_hashes, table,
 
 # Bytes of text whose pieces are encoded together. Bounds the memory of a task, whatever the texts;
 # a longer single text is still taken whole.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 3 << 20
 # Ranks that share an entry of the inverted index. Inside an entry, each word takes its lowest.
 BAND = 512
 NEVER = np.int32(2**31 - 1)

@@ -16,9 +16,9 @@ from wickline.session import configure, staged
 
 # Rows and bytes of an Arrow batch. Batches are the unit of memory of the Python workers.
 BATCH_ROWS = 256
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 # Bytes hashed at once; bounds the 8-byte arrays that hashing builds.
-HASH_BYTES = 4 << 20
+HASH_BYTES = 1 << 20
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
@@ -29,6 +29,10 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+# Workers live on between stages: let them give freed arrays back to the system at once.
+RETURN_MEMORY = {
+    "MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(8 << 20), "MALLOC_ARENA_MAX": "2",
+    "ARROW_DEFAULT_MEMORY_POOL": "system"}
 # The folder that holds the package, for the workers of a session that was started elsewhere.
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -39,6 +43,7 @@ def prepared(spark: SparkSession) -> SparkSession:
     Workers import the package by its name: they find it where it is installed, or at the driver's path.
     """
     own = spark.sparkContext.environment
+    own.update(RETURN_MEMORY)
     if ROOT not in own.get("PYTHONPATH", "").split(os.pathsep):
         own["PYTHONPATH"] = os.pathsep.join(p for p in (own.get("PYTHONPATH"), ROOT) if p)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

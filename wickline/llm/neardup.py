@@ -39,7 +39,7 @@ KEY_SHARE = 8
 # Shingles are counted in parts of the hash space of about so many, by 24 more bits of their hash.
 PART_SHINGLES = 1 << 17
 MOST_PARTS = 1 << 16
-COUNT_BYTES = 12 << 20
+COUNT_BYTES = 4 << 20
 
 INK = np.ones(256, bool)
 INK[[9, 10, 11, 12, 13, 32]] = False
