@@ -67,3 +67,43 @@ def test_no_python_in_the_plan(spark):
     df = lines.without_widespread_lines(documents(spark, [(1, "a", "b")]), "doc_id", "text", "source")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_short_documents_lose_a_planted_passage(spark):
+    """A passage of 60 words in documents with few words of their own, at every place, on 5 and more sites."""
+    passage = " ".join(f"passage{k}" for k in range(60))
+    rows, want = [], {}
+    for i in range(24):
+        mine = [f"just {i}", f"words of {i}"]
+        at = i % 3
+        rows.append((i, "\n".join([*mine[:at], f" {passage}\t", "", *mine[at:]]), f"s{i % 6}"))
+        want[i] = "\n".join([*mine[:at], "", *mine[at:]])
+    for doc, text, n, wide, removed in slim(spark, rows):
+        assert (text, n, wide, removed) == (want[doc], 4, 1, 1)
+
+
+def test_short_documents_lose_header_and_footer(spark):
+    head, foot = "header " * 20, ["footer " * 20, "imprint " * 20]
+    rows = [(i, "\n".join([head, f"text {i}", *foot]), f"s{i % 7}") for i in range(21)]
+    rows += [(100 + i, "\n".join([foot[1], f"text {i} after it"]), f"s{i}") for i in range(3)]
+    for doc, text, _, wide, removed in slim(spark, rows):
+        assert (text, removed) == (f"text {doc}" if doc < 100 else f"text {doc - 100} after it", wide)
+
+
+def test_copies_keep_their_lines(spark):
+    """Whole copies, copies with a changed line, with a line more, and with a footer."""
+    lines_ = [f"line {k} of the text that is copied" for k in range(8)]
+    rows = [(i, "\n".join(lines_), f"s{i % 6}") for i in range(6)]
+    for i in range(6, 30):
+        changed = [*lines_]
+        changed[i % 8] = f"line {i % 8} of the text changed by {i}"
+        rows.append((i, "\n".join(changed), f"s{i % 6}"))
+    rows.append((30, "\n".join([*lines_, "a line more"]), "s1"))
+    rows += [(40 + i, f"{own(40 + i)}\nfooter", f"s{i}") for i in range(6)]
+    rows.append((50, "\n".join([lines_[0], "changed line", *lines_[2:], "footer"]), "s2"))
+    texts = {r[0]: r[1] for r in rows}
+    for doc, text, _, wide, removed in slim(spark, rows):
+        if 40 <= doc < 50:
+            assert (text, wide, removed) == (own(doc), 1, 1)
+        else:
+            assert (text, removed) == (texts[doc], 0) and wide >= 7

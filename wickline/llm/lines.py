@@ -19,10 +19,13 @@ MIN_SITES = 5
 # of a sketch of 2^12 registers is 1.6 %.
 MARGIN = 0.25
 SKETCH_BITS = 12
-# A document keeps all its lines when removal would leave less than one part in this many of its
-# bytes: it is itself a copy, which is the business of document deduplication.
+# Documents of which removal would leave less than one part in this many of the bytes are tested for
+# being copies, which are the business of document deduplication. Only copies keep their lines.
 MIN_KEPT = 2
 BLANKS = " \t\r"
+# Lines that are followed outwards from a line, to tell a block of boilerplate from a copied text.
+HOPS = 3
+WORD = r"[\p{L}\p{N}]"
 
 _LINE = ["_h1", "_h2"]
 
@@ -35,6 +38,80 @@ def _lines(df: DataFrame, text: str, *keep: Column) -> DataFrame:
         "_h1": F.xxhash64("_line"), "_h2": F.xxhash64("_line", F.lit(1))}).drop("_line")
 
 
+def _lines_between(df: DataFrame, text: str, *keep: Column) -> DataFrame:
+    """``_lines`` with ``_at`` (place among the lines that are not blank), ``_size`` in bytes, and the hashes
+    ``_before`` and ``_after`` of the lines next to it that are not blank; NULL at the ends of the text."""
+    places = F.transform(F.split(F.col(text), "\n"), lambda x, i: F.struct(
+        i.alias("pos"), F.btrim(x, F.lit(BLANKS)).alias("line")))
+    rows = df.select(*keep, F.filter(places, lambda x: x["line"] != "").alias("_full"))
+    rows = rows.withColumn("_hashes", F.transform("_full", lambda x: F.xxhash64(x["line"])))
+    # The shifted arrays are zipped, so that a long text costs no look-up by place.
+    zipped = F.arrays_zip(
+        F.col("_full").alias("full"),
+        F.concat(F.array(F.lit(None).cast("bigint")), F.col("_hashes")).alias("before"),
+        F.slice("_hashes", 2, F.size("_hashes")).alias("after"))
+    rows = rows.select(*[c for c in rows.columns if c not in ("_full", "_hashes")],
+                       F.posexplode(zipped).alias("_at", "_one")).where("_one.full IS NOT NULL")
+    line = F.col("_one")["full"]["line"]
+    return rows.withColumns({
+        "_pos": F.col("_one")["full"]["pos"], "_h1": F.xxhash64(line), "_h2": F.xxhash64(line, F.lit(1)),
+        "_size": F.octet_length(line), "_before": F.col("_one")["before"], "_after": F.col("_one")["after"],
+    }).drop("_one")
+
+
+def _bound(hits: DataFrame, min_sites: int) -> DataFrame:
+    """(_h1, _h2, _bound_before, _bound_after) per line of ``hits``; staged.
+
+    A side is bound when one and the same neighbour (a line, or the end of the text) stands there in more
+    than half of the line's places, and on at least ``min_sites`` sites, and the neighbour's side is bound
+    too, as far as ``HOPS`` neighbours.
+    """
+    sides = hits.select(*_LINE, "_site", F.explode(F.array(
+        F.struct(F.lit(True).alias("first"), F.col("_before").alias("next")),
+        F.struct(F.lit(False).alias("first"), F.col("_after").alias("next")))).alias("_side"))
+    sides = sides.select(*_LINE, "_site", "_side.first", "_side.next")
+    # Rows of one frequent line meet only in counts: by site and neighbour, by neighbour, by line.
+    by_site = sides.groupBy(*_LINE, "first", "next", "_site").agg(F.count("*").alias("n"))
+    by_next = by_site.groupBy(*_LINE, "first", "next").agg(
+        F.sum("n").alias("n"), F.count("_site").alias("sites"))
+    # (place count, neighbour) of the neighbour met most; ``next`` is NULL at the ends of the text.
+    usual = F.max(F.when(F.col("sites") >= min_sites, F.struct("n", "next")))
+    by_side = by_next.groupBy(*_LINE, "first").agg(usual.alias("usual"), F.sum("n").alias("total"))
+    by_side = staged(by_side.select(
+        *_LINE, "first", F.coalesce(F.col("usual.n") * 2 > F.col("total"), F.lit(False)).alias("bound"),
+        F.col("usual.next").alias("next")), "sides")
+    # A line inside a block of boilerplate has the block around it: its side is bound only if the usual
+    # neighbour's is, and so on.
+    far = by_side
+    for _ in range(HOPS):
+        ends = far.groupBy(F.col("_h1").alias("next"), "first").agg(F.bool_and("bound").alias("_further"))
+        far = by_side.join(ends, ["next", "first"], "left").select(
+            *_LINE, "first", (F.col("bound") & F.coalesce("_further", F.lit(True))).alias("bound"))
+    return staged(far.groupBy(*_LINE).agg(
+        F.bool_or(F.col("first") & F.col("bound")).alias("_bound_before"),
+        F.bool_or(~F.col("first") & F.col("bound")).alias("_bound_after")), "bound")
+
+
+def _bound_bytes(hits: Column) -> Column:
+    """Bytes of the runs of widespread lines whose both ends are bound; ``hits`` is sorted by place."""
+    start = F.struct(F.lit(0).cast("bigint").alias("done"), F.lit(0).cast("bigint").alias("run"),
+                     F.lit(False).alias("whole"), F.lit(-2).alias("at"), F.lit(False).alias("after"))
+
+    def closed(s: Column) -> Column:
+        return s["done"] + F.when(s["whole"] & s["after"], s["run"]).otherwise(0)
+
+    def step(s: Column, hit: Column) -> Column:
+        goes_on = hit["at"] == s["at"] + 1
+        size = hit["size"].cast("bigint")
+        return F.struct(
+            F.when(goes_on, s["done"]).otherwise(closed(s)).alias("done"),
+            F.when(goes_on, s["run"] + size).otherwise(size).alias("run"),
+            F.when(goes_on, s["whole"]).otherwise(hit["before"]).alias("whole"),
+            hit["at"].alias("at"), hit["after"].alias("after"))
+
+    return F.aggregate(hits, start, step, closed)
+
+
 def widespread_lines(
     df: DataFrame, text: str, site: str, min_sites: int = MIN_SITES, margin: float = MARGIN
 ) -> DataFrame:
@@ -63,28 +140,43 @@ def without_widespread_lines(
     compared without blanks at their ends; blank lines stay. NULL texts stay NULL, NULL documents and
     repeated rows are treated as rows of their own text, NULL sites spread nothing. An empty table
     gives no rows. All other columns are kept, whatever their names. The rows of one frequent line
-    meet only in sketches and in sets of sites.
+    meet only in sketches, in counts and in sets of sites.
+
+    Only a copy keeps its widespread lines, for they spread because the document did. Tested are the
+    documents of which less than one part in ``min_kept`` of the bytes would be left. One is a copy if no
+    word would be left, or if more than half of the bytes of its widespread lines are in runs that have
+    the same lines (or the end of the text) around them elsewhere: in a copy with changed lines, what
+    stood there before the change is still there in the others. Boilerplate stands among other lines in
+    each document, so it is taken out whatever its share.
     """
     boiler = widespread_lines(df, text, site, min_sites)
     keys = ["_doc", "_text_key"]
     keyed = df.withColumns({"_doc": F.col(doc), "_text_key": text_key(F.col(text))})
-    hits = _lines(keyed, text, F.col("_doc"), F.col("_text_key")).join(boiler, _LINE, "left_semi")
-    gone = hits.groupBy(*keys).agg(F.collect_set("_pos").alias("_gone"))
+    hits = staged(_lines_between(
+        keyed, text, F.col("_doc"), F.col("_text_key"), F.col(site).alias("_site")
+    ).join(boiler, _LINE, "left_semi"), "hits")
+    placed = hits.join(_bound(hits, min_sites), _LINE)
+    gone = placed.groupBy(*keys).agg(F.collect_set(F.struct(
+        F.col("_at").alias("at"), F.col("_pos").alias("pos"), F.col("_size").alias("size"),
+        F.col("_bound_before").alias("before"), F.col("_bound_after").alias("after"))).alias("_hits"))
+    gone = gone.withColumns({"_hits": F.array_sort("_hits"), "_gone": F.col("_hits.pos")})
     marked = join_null_safe(keyed, gone, keys, "left")
     parts = F.split(F.col(text), "\n")
     places = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "_gone")
     slim = F.array_join(F.transform(places, lambda i: F.get(F.col("_parts"), i)), "\n")
     marked = marked.withColumn("_parts", parts).withColumn(
         "_slim", F.when(F.col("_gone").isNotNull(), slim))
-    copy = F.octet_length("_slim") * min_kept < F.octet_length(text)
-    removes = F.col("_gone").isNotNull() & ~copy
+    little = F.octet_length("_slim") * min_kept < F.octet_length(text)
+    wide = F.aggregate("_hits", F.lit(0).cast("bigint"), lambda n, hit: n + hit["size"])
+    copy = ~F.col("_slim").rlike(WORD) | (_bound_bytes(F.col("_hits")) * 2 > wide)
+    removes = F.col("_gone").isNotNull() & ~F.when(little, copy).otherwise(False)
     spread = F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))
     return marked.withColumns({
         "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size("_parts")).cast("bigint"),
         "n_widespread": spread.cast("bigint"),
         "n_removed": F.when(removes, F.size("_gone")).otherwise(0).cast("bigint"),
         text: F.when(removes, F.col("_slim")).otherwise(F.col(text)),
-    }).drop("_doc", "_text_key", "_gone", "_parts", "_slim")
+    }).drop("_doc", "_text_key", "_gone", "_hits", "_parts", "_slim")
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
