@@ -82,3 +82,44 @@ def test_awkward_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = secrets.scanned(documents(spark, [(1, "a")]), "text")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def spans_of(spark, texts):
+    rows = secrets.scanned(documents(spark, list(enumerate(texts))), "text", by_runs=True).collect()
+    return [r.spans for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+B64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
+def test_long_keys_with_slashes_are_found(spark):
+    pick = random.Random(5)
+    texts = ["x " + "".join(pick.choice(B64) for _ in range(n)) + " y" for n in (128, 256, 512, 1024) for _ in range(25)]
+    assert sum("entropy_base64" in s for s in spans_of(spark, texts)) == len(texts)
+    # a placeholder inside hides only the windows that touch it
+    long = "".join(pick.choice(B64[:62]) for _ in range(200))
+    for word in ("example", "xxxx", "0123456789"):
+        found = spans_of(spark, [long[:100] + word + long[100:]])[0]
+        ends = [tuple(map(int, x.split(":")[1:])) for x in found.split(",") if x.startswith("entropy_base64")]
+        assert len(ends) == 2 and ends[0][0] < 20 and ends[0][1] <= 100 and 100 + len(word) <= ends[1][0]
+
+
+def test_keys_glued_to_names_are_found(spark):
+    pick = random.Random(6)
+    upper = ["".join(pick.choice("0123456789ABCDEF") for _ in range(40)) for _ in range(40)]
+    seeds = ["".join(pick.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(40)) for _ in range(40)]
+    texts = [f"{name}{x}" for x in upper for name in ("key=", "id_", "ID=", "a-")]
+    for text, found in zip(texts, spans_of(spark, texts)):
+        assert "entropy_hex" in found, text
+    # by chance, no window of one in several thousand seeds of 40 characters reaches 3.5 bits
+    assert sum("entropy_base32:" in s for s in spans_of(spark, [f"ID={x}" for x in seeds])) >= 39
+
+
+def test_what_is_no_secret_by_runs(spark):
+    texts = ["/usr/local/share/Python3/site-packages/numpy/Core2", "src/main/java/com/acme/FooBarTest2/Quick17",
+             "id=a8098C1A-f86e-11da-bd1a-00112444be1e", "thtionerwherblenttionandmore", "aA1" * 30, "x" * 300_000 + "A1",
+             "sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU=", "A1b" + "Ab" * 60_000, "", None]
+    assert spans_of(spark, texts) == [""] * len(texts)
+    key = "q8Zt1Lw7Vx3Rk9Pd5Ns2Hf6Jc4Gb0"
+    assert spans_of(spark, ["/usr/local/share/" + key])[0].startswith("entropy_base64:")
+    assert spans_of(spark, ["AKIAABCDEFGHIJKLMN"]) == ["access:0:18"]

@@ -49,6 +49,27 @@ ALLOWED = (
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$|/.*/.*/|(?i)example|placeholder|changeme"
     r"|xxxx|abcdefghij|0123456789|^sha(1|256|384|512)[-_=]")
 
+# Scan by runs. Each class has its own maximal runs, so a name glued to a key does not choose the class of
+# the key; "=" is in no class. Several classes may have a run at one place: the first kind that fits counts.
+RUNS = (
+    CharacterClass("entropy_hex", r"[0-9A-Fa-f]{20,}", 3.1),
+    CharacterClass("entropy_base32", r"[A-Z0-9]{20,}|[a-z0-9]{20,}", 3.5),
+    CharacterClass("entropy_base64", r"[A-Za-z0-9+/_-]{20,}", 3.9),
+)
+RUN_TESTS = (
+    r"^(?=.*[0-9])(?=.*[A-Fa-f])", r"^(?=.*[0-9])(?=.*[A-Za-z])(?=.*[G-Zg-z])", CLASSES[1].pattern)
+RUN_KINDS = (*KINDS, "entropy_base32")
+# What is known not to be secret, as far as it goes: only windows that touch it are left out. A path has
+# at least three segments of words and short numbers; the counts are bounded for the regex engine's stack.
+_ALONE, _ENDS = r"(?<![A-Za-z0-9+/_-])", r"(?![A-Za-z0-9+/_-])"
+_WORD = r"(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|[0-9]{1,4}+)"
+_SEGMENT = rf"{_WORD}(?:[_-]?{_WORD}){{0,8}}+"
+HARMLESS = (
+    rf"{_ALONE}[0-9A-Fa-f]{{8}}(?:-[0-9A-Fa-f]{{4}}){{3}}-[0-9A-Fa-f]{{12}}{_ENDS}"
+    rf"|{_ALONE}/?(?:{_SEGMENT}/){{2,32}}+(?:{_SEGMENT}{_ENDS})?"
+    rf"|{_ALONE}(?i:sha(?:1|256|384|512))[-_=][A-Za-z0-9+/_-]++"
+    r"|(?i:example|placeholder|changeme|x{4,}+|abcdefghij|0123456789)")
+
 
 def _matches(text: Column, pattern: str, good: Column | None = None) -> Column:
     """array<struct<start, end, value>> of the matches in code points, ``end`` exclusive.
@@ -103,9 +124,10 @@ def _entropy_span(value: Column, bits: float, window: int = WINDOW) -> Column:
             F.when(hot & (state["first"] < 0), begin).otherwise(state["first"]).alias("first"),
             F.when(hot, begin).otherwise(state["last"]).alias("last"))
 
-    places = F.transform(codes, lambda c, i: F.struct(
-        i.alias("i"), c.alias("enter"),
-        F.when(i >= window, F.get(codes, i - window)).otherwise(F.lit(-1)).alias("leave")))
+    # Zipped, not looked up by place: inside a lambda the codes would be built anew for each place.
+    leaves = F.slice(F.concat(F.array_repeat(F.lit(-1), window), codes), 1, F.char_length(value))
+    places = F.transform(F.arrays_zip(codes.alias("enter"), leaves.alias("leave")), lambda p, i: F.struct(
+        i.alias("i"), p["enter"].alias("enter"), p["leave"].alias("leave")))
     return F.aggregate(places, start, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
 
 
@@ -127,6 +149,25 @@ def _entropy_spans(k: int, window: int) -> Column:
         (m["start"] + m["hot"]["last"] + window).alias("end")))
 
 
+def _masked(text: Column, pattern: str) -> Column:
+    """``text`` with as many blanks in place of each match."""
+    blanks = F.transform(_matches(text, pattern), lambda m: F.repeat(F.lit(" "), m["end"] - m["start"]))
+    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), blanks.alias("blank"))
+    masked = F.array_join(F.transform(pieces, lambda p: F.concat(p["gap"], F.coalesce(p["blank"], F.lit("")))), "")
+    return F.when(text.rlike(pattern), masked).otherwise(text)
+
+
+def _run_spans(text: Column, k: int, window: int) -> Column:
+    """Entropy spans of the runs of class number ``k``."""
+    bits, number = RUNS[k].bits, RUN_KINDS.index(RUNS[k].kind)
+    runs = F.filter(_matches(text, RUNS[k].pattern), lambda m: m["value"].rlike(RUN_TESTS[k]))
+    windows = F.transform(F.filter(runs, lambda m: F.char_length(m["value"]) >= window), lambda m: F.struct(
+        m["start"].alias("start"), _entropy_span(m["value"], bits, window).alias("hot")))
+    return F.transform(F.filter(windows, lambda m: m["hot"]["first"] >= 0), lambda m: F.struct(
+        (m["start"] + m["hot"]["first"]).alias("start"), F.lit(number).alias("kind"),
+        (m["start"] + m["hot"]["last"] + window).alias("end")))
+
+
 def _spans(found: Column, kind: str) -> Column:
     number = KINDS.index(kind)
     return F.transform(found, lambda m: F.struct(
@@ -134,12 +175,14 @@ def _spans(found: Column, kind: str) -> Column:
 
 
 def _listed(spans: Column) -> Column:
-    names = F.array(*[F.lit(k) for k in KINDS])
+    names = F.array(*[F.lit(k) for k in RUN_KINDS])
     return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scanned(df: DataFrame, text: str, allowed: str = ALLOWED, window: int = WINDOW) -> DataFrame:
+def scanned(
+    df: DataFrame, text: str, allowed: str = ALLOWED, window: int = WINDOW, by_runs: bool = False
+) -> DataFrame:
     """``df`` with ``n_assign``, ``n_access``, ``n_hex``, ``base`` and ``spans`` added.
 
     ``base`` and ``spans`` are comma-joined ``kind:start:end`` in code points, by start, then kind;
@@ -148,6 +191,11 @@ def scanned(df: DataFrame, text: str, allowed: str = ALLOWED, window: int = WIND
     character class; candidates matching ``allowed`` and spans inside a base span add nothing. NULL
     and empty texts have no spans; an empty table gives no rows; repeated rows and NULLs elsewhere
     change nothing. Texts are scanned whole. Each row is its own work: nothing is shuffled.
+
+    ``by_runs``: windows slide over the maximal runs of each class in ``RUNS`` instead of over candidates
+    of one class each, and instead of dropping a candidate that holds something allowed, only the windows
+    that touch a match of ``HARMLESS`` are left out. An entropy span inside one of an earlier class, or of
+    another class and longer, adds nothing.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = df.withColumn("_body", body)
@@ -162,8 +210,19 @@ def scanned(df: DataFrame, text: str, allowed: str = ALLOWED, window: int = WIND
     rows = rows.withColumn("_base", F.concat(
         _spans(F.col("_assign"), "assign"), _spans(F.col("_access"), "access"), _spans(F.col("_hex"), "hex")))
     added = [_entropy_spans(k, window) for k in range(len(CLASSES))]
-    rows = rows.withColumn("_added", F.when(F.size("_candidates") > 0, F.concat(*added)).otherwise(
-        F.array().cast("array<struct<start:int,kind:int,end:int>>")))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    if by_runs:
+        rows = rows.withColumn("_masked", F.when(F.col("_body").rlike(CANDIDATE), _masked(F.col("_body"), HARMLESS)))
+        found = [F.coalesce(_run_spans(F.col("_masked"), k, window), none) for k in range(len(RUNS))]
+        rows = rows.withColumn("_each", F.concat(*found))
+        rank = F.array(*[F.lit([c.kind for c in RUNS].index(k) if k in [c.kind for c in RUNS] else -1)
+                         for k in RUN_KINDS])
+        added = [F.filter("_each", lambda a: ~F.exists("_each", lambda b: (
+            (b["kind"] != a["kind"]) & (b["start"] <= a["start"]) & (a["end"] <= b["end"])
+            & ((b["end"] - b["start"] > a["end"] - a["start"]) | (F.get(rank, b["kind"]) < F.get(rank, a["kind"]))))))]
+        rows = rows.withColumn("_added", F.concat(*added)).drop("_masked", "_each")
+    else:
+        rows = rows.withColumn("_added", F.when(F.size("_candidates") > 0, F.concat(*added)).otherwise(none))
     fresh = F.filter("_added", lambda a: ~F.exists(
         "_base", lambda b: (b["start"] <= a["start"]) & (a["end"] <= b["end"])))
     return rows.withColumns({
@@ -174,7 +233,7 @@ def scanned(df: DataFrame, text: str, allowed: str = ALLOWED, window: int = WIND
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    found = scanned(table(spark, folder, "documents").select("doc_id", "text"), "text")
+    found = scanned(table(spark, folder, "documents").select("doc_id", "text"), "text", by_runs=True)
     return found.select("doc_id", "n_assign", "n_access", "n_hex",
                         F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
 
