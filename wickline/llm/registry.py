@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from wickline.llm import archives, bpe, contamination, lines, neardup, quality, secrets, shards, topk, toxicity
+from wickline.llm import (
+    archives, bpe, contamination, lines, neardup, quality, secrets, shards, spelling, topk, toxicity,
+)
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -15,6 +17,7 @@ QUERIES = {
     "op8_warc": archives.query,
     "op9_jaccard_join": neardup.query,
     "op10_bpe": bpe.query,
+    "op11_spelling": spelling.query,
 }
 
 CHECKS = {
@@ -25,4 +28,5 @@ CHECKS = {
     "op7_line_dedup": lines.CHECK,
     "op8_warc": archives.CHECK,
     "op9_jaccard_join": neardup.CHECK,
+    "op11_spelling": spelling.CHECK,
 }
