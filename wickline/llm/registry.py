@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from wickline.llm import (
-    archives, bpe, contamination, lines, neardup, quality, secrets, shards, spelling, topk, toxicity,
+    alignment, archives, bpe, contamination, lines, neardup, quality, secrets, shards, spelling, topk, toxicity,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_jaccard_join": neardup.query,
     "op10_bpe": bpe.query,
     "op11_spelling": spelling.query,
+    "op12_alignment": alignment.query,
 }
 
 CHECKS = {
