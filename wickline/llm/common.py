@@ -33,6 +33,8 @@ LOWER[65:91] += 32
 RETURN_MEMORY = {
     "MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(8 << 20), "MALLOC_ARENA_MAX": "2",
     "ARROW_DEFAULT_MEMORY_POOL": "system"}
+# A task has one core: its libraries start no threads of their own.
+ONE_THREAD = {"OMP_NUM_THREADS": "1", "RAYON_NUM_THREADS": "1", "TOKENIZERS_PARALLELISM": "false"}
 # The folder that holds the package, for the workers of a session that was started elsewhere.
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -43,7 +45,7 @@ def prepared(spark: SparkSession) -> SparkSession:
     Workers import the package by its name: they find it where it is installed, or at the driver's path.
     """
     own = spark.sparkContext.environment
-    own.update(RETURN_MEMORY)
+    own.update(RETURN_MEMORY | ONE_THREAD)
     if ROOT not in own.get("PYTHONPATH", "").split(os.pathsep):
         own["PYTHONPATH"] = os.pathsep.join(p for p in (own.get("PYTHONPATH"), ROOT) if p)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from wickline.llm import (
-    alignment, archives, bpe, contamination, lines, neardup, quality, secrets, shards, spelling, topk, toxicity,
+    alignment, archives, bpe, contamination, lines, nearest, neardup, quality, secrets, shards, spelling, topk, toxicity,
 )
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op10_bpe": bpe.query,
     "op11_spelling": spelling.query,
     "op12_alignment": alignment.query,
+    "op13_nearest": nearest.query,
 }
 
 CHECKS = {
