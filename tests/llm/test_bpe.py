@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -58,3 +59,23 @@ def test_rows(spark, library):
                      hashlib.sha256((text or "").encode()).hexdigest()))
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert bpe.encoded(documents(spark, []), "doc_id", "text", PATH).count() == 0
+
+
+def thue_morse(bits, a="a", b="b"):
+    return "".join(a if bin(i).count("1") % 2 == 0 else b for i in range(1 << bits))
+
+
+def test_words_of_one_polynomial_hash(library):
+    """Such a word and its complement collide under every polynomial modulo 2^64."""
+    texts = [thue_morse(10) + " " + thue_morse(10, "b", "a"), thue_morse(12) + thue_morse(12, "b", "a"), thue_morse(10)]
+    got = bpe.coder(PATH).encode(texts)
+    assert got == library.encode_ordinary_batch(texts)
+    assert [bpe.coder(PATH).decode(ids) for ids in got] == [t.encode() for t in texts]
+
+
+def test_pieces_are_told_apart_by_their_bytes():
+    data = np.frombuffer(b"oneonetwoonethree", np.uint8)
+    starts, ends = np.array([0, 3, 6, 9, 12]), np.array([3, 6, 9, 12, 17])
+    word, first = bpe._told_apart(data, starts, ends, np.zeros(5, np.uint64))
+    found = [data[starts[k]:ends[k]].tobytes() for k in first]
+    assert [found[k] for k in word] == [b"one", b"one", b"two", b"one", b"three"]

@@ -23,7 +23,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
-from wickline.llm.common import map_arrow, prepared, sliced, span_hashes, table, utf8
+from wickline.llm.common import map_arrow, prepared, sliced, table, utf8, word_hashes
 
 # Bytes of text whose pieces are encoded together. Bounds the memory of a task, whatever the texts;
 # a longer single text is still taken whole.
@@ -237,6 +237,24 @@ def _repaired(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
         return np.frombuffer(raw, np.uint8), np.append(0, np.cumsum([len(r) for r in rows])), raw.decode()
 
 
+def _told_apart(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(word of each piece, first piece of each word). Pieces of one hash are one word if their bytes are equal;
+    the others of that hash are words of their own."""
+    _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
+    if not len(starts):
+        return word, first
+    sizes, model = ends - starts, first[word]
+    edges = np.cumsum(sizes) - sizes
+    inner = np.arange(int(sizes.sum())) - np.repeat(edges, sizes)
+    there = np.minimum(np.repeat(starts[model], sizes) + inner, len(data) - 1)
+    here = np.repeat(starts, sizes) + inner
+    odd = np.flatnonzero((sizes != sizes[model]) | (np.add.reduceat(data[here] != data[there], edges) > 0))
+    word[odd] = len(first) + np.arange(len(odd))
+    return word, np.append(first, odd)
+
+
 class Coder:
     """Encodes and decodes whole texts with one rank file."""
 
@@ -247,7 +265,7 @@ class Coder:
         raw = np.frombuffer(b"".join(self.ranks.token), np.uint8)
         bounds = np.append(0, np.cumsum([len(t) for t in self.ranks.token]))
         lone = np.flatnonzero(np.diff(self.ranks.replay(raw, bounds)[1]) > 1)
-        hashes = span_hashes(raw, bounds[lone], bounds[lone + 1])
+        hashes = word_hashes(raw, bounds[lone], bounds[lone + 1])
         order = np.argsort(hashes)
         self.lone, self.lone_hashes = lone[order].astype(np.int32), hashes[order]
         self.shown = [str(i).encode() for i in range(len(self.ranks.token))]
@@ -260,24 +278,24 @@ class Coder:
         begins = pieces(points, np.searchsorted(lead, offsets), self.classes)
         starts = lead[begins]
         ends = np.append(starts[1:], len(data))
-        hashes = span_hashes(data, starts, ends)
-        order = np.argsort(hashes)
-        new = np.append(True, np.diff(hashes[order]) != 0)[: len(order)]
-        word = np.empty(len(order), np.int64)
-        word[order] = np.cumsum(new) - 1
-        first = order[new]
+        hashes = word_hashes(data, starts, ends)
+        word, first = _told_apart(data, starts, ends, hashes)
         sizes = ends[first] - starts[first]
         bounds = np.append(0, np.cumsum(sizes))
         own = data[np.repeat(starts[first] - bounds[:-1], sizes) + np.arange(bounds[-1])]
-        ids, edges = self._whole(hashes[first], *self.ranks.replay(own, bounds))
+        ids, edges = self._whole(own, bounds, hashes[first], *self.ranks.replay(own, bounds))
         return ids, edges, word, np.searchsorted(starts, offsets)
 
-    def _whole(self, hashes: np.ndarray, ids: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _whole(
+        self, data: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, ids: np.ndarray, edges: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Put the tokens that merging does not reach in the place of their words' ids."""
         if not len(self.lone):
             return ids, edges
         at = np.minimum(np.searchsorted(self.lone_hashes, hashes), len(self.lone) - 1)
         hit = self.lone_hashes[at] == hashes
+        for i in np.flatnonzero(hit).tolist():
+            hit[i] = data[bounds[i] : bounds[i + 1]].tobytes() == self.ranks.token[self.lone[at[i]]]
         if not hit.any():
             return ids, edges
         counts = np.diff(edges)

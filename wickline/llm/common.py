@@ -22,6 +22,7 @@ HASH_BYTES = 1 << 20
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
+_FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)
 
@@ -57,6 +58,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Each of ``names``, with underscores before it if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def text_bytes(column: Column) -> Column:
     """UTF-8 length of a text; 0 for NULL."""
     return F.coalesce(F.octet_length(column), F.lit(0))
@@ -160,6 +172,35 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every span, for words that are told apart by it: no two are known to share one.
+
+    A span is cut into blocks of eight bytes from its start; a block is mixed with its place, and the mixed
+    blocks are added up. Unlike the polynomial of ``span_hashes``, which words of long repetitive patterns
+    defeat, sums of mixed blocks have no algebra that texts run into. Spans may overlap; none is empty.
+    """
+    out = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(starts, starts[first] + HASH_BYTES)))
+        s, e = starts[first:last], ends[first:last]
+        base, top = int(s[0]), int(e.max())
+        held = np.zeros(top - base + 8, np.uint8)
+        held[:-8] = data[base:top]
+        blocks = (e - s + 7) >> 3
+        edges = np.cumsum(blocks) - blocks
+        place = np.arange(int(blocks.sum())) - np.repeat(edges, blocks)
+        at = np.repeat(s - base, blocks) + 8 * place
+        words = np.ndarray((len(held) - 7,), "<u8", held, 0, (1,))[at]
+        left = np.minimum(np.repeat(e - base, blocks) - at, 8).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            words = words & (_FULL >> (np.uint64(64) - (left << np.uint64(3))))
+            mixed = mix(words + mix(place.astype(np.uint64) * _MULTIPLIER + _MULTIPLIER))
+            out[first:last] = mix(np.add.reduceat(mixed, edges) ^ ((e - s).astype(np.uint64) * _MULTIPLIER))
+        first = last
+    return out
+
+
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Hash of the ``k`` words from each position on; the last ``k`` - 1 positions are left out."""
     n = len(words) - k + 1
@@ -217,7 +258,9 @@ def without(docs: DataFrame, bad: DataFrame, doc: str = "doc_id", text: str = "t
         return pd.Series((shared.value[(bits >> np.uint64(6)).astype(np.int64)] >> (bits & np.uint64(63))
                           & np.uint64(1)).astype(bool))
 
-    keyed = docs.withColumn("text_key", text_key(F.col(text)))
-    keyed = keyed.withColumn("_listed", listed(F.xxhash64(doc, "text_key")))
-    rest = join_null_safe(keyed.where("_listed"), bad.select(doc, "text_key"), [doc, "text_key"], "left_anti")
-    return keyed.where("NOT _listed").select(*docs.columns).unionByName(rest.select(*docs.columns))
+    key, mark = unused(docs, "text_key", "_listed")
+    keyed = docs.withColumn(key, text_key(F.col(text)))
+    keyed = keyed.withColumn(mark, listed(F.xxhash64(doc, key)))
+    listed_rows = bad.select(doc, F.col("text_key").alias(key))
+    rest = join_null_safe(keyed.where(F.col(mark)), listed_rows, [doc, key], "left_anti")
+    return keyed.where(~F.col(mark)).select(*docs.columns).unionByName(rest.select(*docs.columns))
