@@ -3,8 +3,10 @@ import re
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+import numpy as np
 from cases import CLASHING, documents, prose
 from wickline.llm import neardup
+from wickline.llm.common import word_hashes
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -136,3 +138,41 @@ def test_stage_keeps_one_of_each_group(spark):
 def test_stages_in_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "line_dedup", "jaccard_join", "decontamination", "bpe"]
+
+
+def test_words_of_one_polynomial_hash(spark):
+    words = ["".join("ab"[(bin(i).count("1") + k) % 2] for i in range(1024)) for k in (0, 1)]
+    rows = [(1, words[0]), (2, words[1]), (3, " ".join([words[0]] * 2)), (4, " ".join([words[1]] * 2))]
+    check(spark, rows)
+
+
+def test_word_hashes_read_every_byte():
+    pick = random.Random(8)
+    words = sorted({bytes(pick.randrange(97, 100) for _ in range(pick.randrange(1, 30))) for _ in range(4000)})
+    words += [bytes(n) for n in range(1, 40)]
+    data = np.frombuffer(b"".join(words), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    starts = ends - [len(w) for w in words]
+    whole = word_hashes(data, starts, ends)
+    assert len(set(whole.tolist())) == len(words)
+    alone = [word_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0] for w in words]
+    assert whole.tolist() == [int(h) for h in alone]
+
+
+def template(count, shared, size, first):
+    """Documents of ``size`` words' shingles, of which all share the same ``shared``."""
+    body = " ".join(f"t{i}" for i in range(shared))
+    return [(first + d, body + "".join(f" d{d}x{i}" for i in range(size - shared))) for d in range(count)]
+
+
+def test_templates_below_the_threshold(spark):
+    """Classes of size and place that cannot be similar are not paired at all."""
+    rows = template(400, 88, 104, 0) + template(30, 95, 104, 1000) + families(9, 3, 2000)
+    check(spark, rows)
+
+
+def test_classes_of_groups_are_paired_not_their_members(spark):
+    index = spark.createDataFrame([(1, 16, 100, i) for i in range(50)] + [(2, 0, 100, 0), (2, 0, 100, 1)],
+                                  "shingle bigint, place int, n bigint, leader bigint")
+    nodes = spark.createDataFrame([(i, i, i) for i in range(50)], "leader bigint, node bigint, component bigint")
+    assert [tuple(r) for r in neardup._cross_pairs(index, nodes).collect()] == [(0, 1)]

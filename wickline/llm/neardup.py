@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickline.llm.common import (
-    LOWER, gram_hashes, map_arrow, mix, prepared, signed, sliced, span_hashes, spans, table, text_key, utf8, without,
+    LOWER, gram_hashes, map_arrow, mix, prepared, signed, sliced, spans, table, text_key, unused, utf8, without, word_hashes,
 )
 from wickline.operators.keys import join_null_safe
 from wickline.session import staged
@@ -47,11 +47,14 @@ _OTHER = np.uint64(0xD6E8FEB86659FD93)
 
 
 def shingle_sets(column: pa.Array) -> list[np.ndarray]:
-    """The distinct shingles of every text, sorted. Fewer words than a shingle make one, none make none."""
+    """The distinct shingles of every text, sorted. Fewer words than a shingle make one, none make none.
+
+    Shingles are told apart by 64 bits: by hashes of their words, mixed again.
+    """
     data, offsets = utf8(column)
     data = LOWER[data]
     starts, ends, first = spans(data, offsets, INK)
-    words = span_hashes(data, starts, ends)
+    words = word_hashes(data, starts, ends)
     grams = gram_hashes(words, SHINGLE)
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
@@ -257,30 +260,33 @@ def _far_apart(nx: str, ny: str) -> str:
 
 
 def _cross_pairs(index: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of nodes of different components whose groups share a shingle, filtered by size and place."""
-    held = index.join(nodes.select("leader", "node", "component"), "leader").select(
-        "shingle", "place", "n", "node", "component")
+    """Pairs of nodes of different components whose groups share a shingle, filtered by size and place.
+
+    The groups that hold a shingle are counted by size and place first. Only classes of them that may
+    hold similar sets are paired, and only the groups of such classes are expanded to their members.
+    """
+    ranges = nodes.groupBy("leader").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    held = index.join(staged(ranges, "ranges"), "leader")
     open_ones = held.groupBy("shingle").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
+        F.min("low").alias("least"), F.max("high").alias("most")).where("least < most").select("shingle")
     held = staged(held.join(staged(open_ones, "open"), "shingle", "left_semi"), "open-rows")
-    # What the best pair of two components could be decides whether any of their pairs is looked at.
-    ones = held.groupBy("shingle", "component").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("rest"))
-    ones = staged(ones, "open-components")
-    left, right = (ones.selectExpr("shingle", f"component AS {c}", f"low AS low_{c}", f"high AS high_{c}",
-                                   f"rest AS rest_{c}") for c in ("c", "d"))
-    possible = (f"c < d AND 100 * high_c >= {PERCENT} * low_d AND 100 * high_d >= {PERCENT} * low_c "
-                f"AND {100 + PERCENT} * least(rest_c, rest_d) >= {PERCENT} * (low_c + low_d)")
-    met = left.join(right, "shingle").where(possible).select("shingle", "c", "d", "low_d", "high_d", "rest_d")
-    sides = [held.selectExpr("shingle", f"component AS {c}", f"node AS {v}", f"n AS n{v}", f"place AS p{v}")
-             for c, v in (("c", "a"), ("d", "b"))]
-    # A member of one component is kept if the best member of the other could be similar to it.
-    one = met.join(sides[0], ["shingle", "c"]).where(
-        f"100 * na >= {PERCENT} * low_d AND 100 * high_d >= {PERCENT} * na "
-        f"AND {100 + PERCENT} * least(na - pa, rest_d) >= {PERCENT} * (na + low_d)")
-    pairs = one.drop("low_d", "high_d", "rest_d").join(sides[1], ["shingle", "d"]).where(
-        f"NOT ({_far_apart('na', 'nb')})").where(
-        f"{100 + PERCENT} * least(na - pa, nb - pb) >= {PERCENT} * (na + nb)")
+    classes = staged(held.groupBy("shingle", "n", "place").agg(
+        F.min("low").alias("low"), F.max("high").alias("high")), "classes")
+    x, y = (classes.selectExpr("shingle", f"n AS n{c}", f"place AS p{c}", f"low AS low{c}", f"high AS high{c}")
+            for c in "ab")
+    # Within a class both orders are one pair; classes all of one component have nothing to find.
+    met = staged(x.join(y, "shingle").where(
+        f"(na < nb OR na = nb AND pa <= pb) AND NOT ({_far_apart('na', 'nb')}) "
+        f"AND {100 + PERCENT} * least(na - pa, nb - pb) >= {PERCENT} * (na + nb) "
+        "AND least(lowa, lowb) < greatest(higha, highb)").select("shingle", "na", "pa", "nb", "pb"), "class-pairs")
+    sides = [held.selectExpr("shingle", f"n AS n{c}", f"place AS p{c}", f"leader AS leader{c}", f"low AS low{c}",
+                             f"high AS high{c}") for c in "ab"]
+    groups = met.join(sides[0], ["shingle", "na", "pa"]).join(sides[1], ["shingle", "nb", "pb"]).where(
+        "(na < nb OR pa < pb OR leadera <= leaderb) AND least(lowa, lowb) < greatest(higha, highb)").select(
+        F.least("leadera", "leaderb").alias("leadera"), F.greatest("leadera", "leaderb").alias("leaderb")).distinct()
+    members = [nodes.selectExpr(f"leader AS leader{c}", f"node AS {c}", f"component AS c{c}") for c in "ab"]
+    pairs = groups.join(members[0], "leadera").join(members[1], "leaderb").where(
+        "ca <> cb AND (leadera <> leaderb OR a < b)")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -367,9 +373,11 @@ def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
         "doc_id", "text_key"), "repeated")
     if again.isEmpty():
         return rest
-    keyed = rest.withColumn("text_key", text_key(F.col("text")))
-    once = join_null_safe(keyed, again, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"])
-    return join_null_safe(keyed, again, ["doc_id", "text_key"], "left_anti").unionByName(once).select(*docs.columns)
+    [key] = unused(docs, "text_key")
+    keyed = rest.withColumn(key, text_key(F.col("text")))
+    again = again.withColumnRenamed("text_key", key)
+    once = join_null_safe(keyed, again, ["doc_id", key], "left_semi").dropDuplicates(["doc_id", key])
+    return join_null_safe(keyed, again, ["doc_id", key], "left_anti").unionByName(once).select(*docs.columns)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
