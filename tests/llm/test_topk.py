@@ -7,17 +7,13 @@ from wickline.llm import topk
 
 
 def brute(rows, best=5, step=50):
-    least = {}
-    for key, vector in rows:
-        if key is None or vector is None or any(x is None or not math.isfinite(x) for x in vector):
-            continue
-        code = [math.floor(256 * x) for x in vector]
-        least[key] = min(least.get(key, code), code)
+    codes = [(key, [math.floor(256 * x) for x in vector]) for key, vector in rows
+             if key is not None and vector is not None and all(x is not None and math.isfinite(x) for x in vector)]
     out = []
-    for q in least:
+    for i, (q, own) in enumerate(codes):
         if q % step == 0:
-            ranked = sorted((-sum(a * b for a, b in zip(least[q], v)), k) for k, v in least.items() if k != q)
-            out += [(q, i, k, -s) for i, (s, k) in enumerate(ranked[:best], 1)]
+            ranked = sorted((-sum(a * b for a, b in zip(own, v)), k) for j, (k, v) in enumerate(codes) if j != i)
+            out += [(q, r, k, -s) for r, (s, k) in enumerate(ranked[:best], 1)]
     return sorted(out)
 
 
@@ -25,7 +21,7 @@ def check(spark, rows, monkeypatch=None, **sizes):
     for name, value in sizes.items():
         monkeypatch.setattr(topk, name, value)
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("id", F.lit(1)).withColumn(
-        "codes", F.lit(2)).withColumn("rank", F.lit("x"))
+        "codes", F.lit(2)).withColumn("rank", F.lit("x")).withColumn("row", F.lit("own"))
     got = sorted(map(tuple, topk.top_k(df, "vec_id", "embedding").collect()))
     import struct
 
@@ -64,3 +60,10 @@ def test_few(spark):
     check(spark, [(0, [1.0])])
     check(spark, [(0, [1.0]), (1, [2.0])])
     assert topk.top_k(spark.createDataFrame([], "vec_id bigint, embedding array<float>"), "vec_id", "embedding").count() == 0
+
+
+def test_repeated_ids_are_rows_of_their_own(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.5]), (0, [1.0, 0.0]), (7, [1.0, 1.0]), (7, [1.0, 1.0]), (8, [0.5, 0.0])]
+    check(spark, rows)
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"), "vec_id", "embedding")
+    assert got.where("vec_id = 7").count() == 6

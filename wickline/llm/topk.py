@@ -33,46 +33,46 @@ EXACT = 1 << 51
 
 
 def codes(df: DataFrame, key: str, vector: str, scale: int = SCALE) -> DataFrame:
-    """(id, codes): floor(scale * component) of the usable vectors, one row per id, staged.
+    """(id, row, codes): floor(scale * component) of the usable vectors, staged. ``row`` tells rows of one id apart.
 
-    Vectors that are NULL or hold a NULL or non-finite component take no part, nor do rows without an
-    id. Of several vectors of one id the least counts (they shrink to one before the shuffle).
+    Vectors that are NULL or hold a NULL or non-finite component take no part, nor do rows without an id.
     """
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = df.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & finite)
     floors = F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * scale).cast("bigint"))
-    rows = rows.select(F.col(key).cast("bigint").alias("id"), floors.alias("codes"))
-    return staged(rows.groupBy("id").agg(F.min("codes").alias("codes")), "codes")
+    return staged(rows.select(F.col(key).cast("bigint").alias("id"), floors.alias("codes")).withColumn(
+        "row", F.monotonically_increasing_id()), "codes")
 
 
 def _blocks(rows: DataFrame, count: int, name: str, width: int) -> DataFrame:
-    """(name, ids, weights): ``count`` blocks of about equal size, chosen by a hash of the id."""
+    """(name, ids, rows, weights): ``count`` blocks of about equal size, chosen by a hash of the row."""
     def pack(group: pa.Table) -> pa.Table:
-        group = group.sort_by("id")
+        group = group.sort_by([("id", "ascending"), ("row", "ascending")])
         lists = group.column("codes").to_pylist()
         weights = np.zeros((len(lists), width), np.int64)
         for i, one in enumerate(lists):
             weights[i, : len(one)] = one
-        ids = group.column("id").to_numpy().astype(np.int64)
+        ids, numbers = (group.column(c).to_numpy().astype(np.int64) for c in ("id", "row"))
         return pa.table({name: pa.array([group.column(name)[0].as_py()], pa.int32()),
-                         f"{name}_ids": [ids.tobytes()], f"{name}_weights": [weights.T.tobytes()]})
+                         f"{name}_ids": [ids.tobytes()], f"{name}_rows": [numbers.tobytes()],
+                         f"{name}_weights": [weights.T.tobytes()]})
 
-    keyed = rows.withColumn(name, F.pmod(F.xxhash64("id"), F.lit(count)).cast("int"))
+    keyed = rows.withColumn(name, F.pmod(F.xxhash64("row"), F.lit(count)).cast("int"))
     return keyed.groupBy(name).applyInArrow(
-        pack, f"{name} int, {name}_ids binary, {name}_weights binary")
+        pack, f"{name} int, {name}_ids binary, {name}_rows binary, {name}_weights binary")
 
 
 class Shard:
     """Posting lists of a block of vectors: ``postings[term]`` has the weight of each vector."""
 
-    def __init__(self, ids: np.ndarray, postings: np.ndarray):
-        self.ids, self.postings = ids, postings
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, postings: np.ndarray):
+        self.ids, self.rows, self.postings = ids, rows, postings
         self.most = postings.max(axis=1) if len(ids) else np.zeros(len(postings))
         self.least = postings.min(axis=1) if len(ids) else np.zeros(len(postings))
 
     def search(self, own: int, query: np.ndarray, best: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the ``best`` vectors by score, ties to the smaller id, ``own`` left out."""
-        others = np.flatnonzero(self.ids != own)
+        """(ids, scores) of the ``best`` vectors by score, ties to the smaller id, row ``own`` left out."""
+        others = np.flatnonzero(self.rows != own)
         high = np.maximum(query * self.most, query * self.least)
         low = np.minimum(query * self.most, query * self.least)
         order = np.argsort(high - low, kind="stable")[::-1]
@@ -81,7 +81,7 @@ class Shard:
             first = order[:SEED_TERMS]
             partial = query[first] @ self.postings[first]
             seeds = np.argpartition(partial, len(partial) - SEEDS - 1)[-SEEDS - 1:]
-            seeds = seeds[self.ids[seeds] != own]
+            seeds = seeds[self.rows[seeds] != own]
             if len(seeds) >= best:
                 threshold = np.sort(query @ self.postings[:, seeds])[-best]
         if threshold is None:
@@ -127,8 +127,9 @@ def top_k(
     (query_id, rank, vec_id, score).
 
     Scores are integer inner products, ties go to the smaller id; shorter vectors count as filled up
-    with zeros. With fewer vectors all are returned; an empty table gives no rows. See ``codes`` for
-    NULLs and repeated ids. Extra columns play no part. A score beyond 64 bits raises an error.
+    with zeros. With fewer vectors all are returned; an empty table gives no rows. See ``codes`` for NULLs.
+    Rows of one id are rows of their own: each of them is a query, and a candidate of the others. Extra
+    columns play no part. A score beyond 64 bits raises an error.
     """
     prepared(df.sparkSession)
     rows = codes(df, key, vector, scale)
@@ -140,25 +141,26 @@ def top_k(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for q_ids, q_weights, v_ids, v_weights in zip(*(c.to_pylist() for c in batch.columns)):
+            for q_ids, q_rows, q_weights, v_ids, v_rows, v_weights in zip(*(c.to_pylist() for c in batch.columns)):
                 queries, postings = _matrix(q_weights, width), _matrix(v_weights, width)
                 kind = np.float64 if _exact(queries, postings) else object
-                shard = Shard(np.frombuffer(v_ids, np.int64), postings.astype(kind))
-                out: list[tuple[int, int, int]] = []
-                for own, query in zip(np.frombuffer(q_ids, np.int64).tolist(), queries.T.astype(kind)):
+                shard = Shard(*(np.frombuffer(x, np.int64) for x in (v_ids, v_rows)), postings.astype(kind))
+                out: list[tuple[int, int, int, int]] = []
+                asking = zip(*(np.frombuffer(x, np.int64).tolist() for x in (q_ids, q_rows)), queries.T.astype(kind))
+                for one, own, query in asking:
                     ids, scores = shard.search(own, query, best)
-                    out += [(own, i, int(s)) for i, s in zip(ids.tolist(), scores.tolist())]
-                columns = list(zip(*out)) if out else [[], [], []]
+                    out += [(one, own, i, int(s)) for i, s in zip(ids.tolist(), scores.tolist())]
+                columns = list(zip(*out)) if out else [[]] * 4
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+                    [pa.array(c, pa.int64()) for c in columns], names=["query_id", "query_row", "vec_id", "score"])
 
     spread = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     left = _blocks(asked, blocks, "block", width).withColumn("shard", spread)
     right = _blocks(rows, shards, "shard", width)
     met = left.repartition(shards, "shard").join(right.repartition(shards, "shard"), "shard")
-    found = map_arrow(met.select("block_ids", "block_weights", "shard_ids", "shard_weights"), run,
-                      "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = map_arrow(met.select("block_ids", "block_rows", "block_weights", "shard_ids", "shard_rows", "shard_weights"), run,
+                      "query_id bigint, query_row bigint, vec_id bigint, score bigint")
+    order = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
     merged = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
     return merged.select("query_id", "rank", "vec_id", "score")
 
@@ -169,12 +171,13 @@ def query(spark: SparkSession, folder: str) -> DataFrame:
 
 CHECK = f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS c FROM embeddings
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS c
+  FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, v.vec_id AS vec_id, list_inner_product(q.c, v.c)::BIGINT AS score
-  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % {QUERY_STEP} = 0)
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+  SELECT q.rid, q.vec_id AS query_id, v.vec_id AS vec_id, list_inner_product(q.c, v.c)::BIGINT AS score
+  FROM v q JOIN v ON q.rid <> v.rid WHERE q.vec_id % {QUERY_STEP} = 0)
+SELECT query_id, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
 FROM scored QUALIFY rank <= {BEST}
 """
