@@ -58,6 +58,7 @@ def examples(
 ) -> list[Example]:
     """The sample's sparse features, in the sample's order, up to ``limit`` features in all.
 
+    A text with more than its share, a quarter of ``limit``, is no example: the sample only fits the model.
     ``features`` maps the bytes of one text to (indices as int32, weights as float32).
     """
     def run(batches):
@@ -72,9 +73,10 @@ def examples(
                 pa.array(weight, pa.binary())], names=["_order", "_label", "n", "index", "weight"])
 
     sparse = staged(map_arrow(rows, run, "_order bigint, _label int, n int, index binary, weight binary"), "sample")
+    sparse = sparse.where(F.col("n") <= limit // 4)
     sizes = sorted((r[0], r[1], r[2]) for r in sparse.select("_order", "_label", "n").collect())
     fits = np.cumsum([n for _, _, n in sizes]) <= limit
-    if not len(sizes) or not fits[0]:
+    if not len(sizes):
         return []
     last = sizes[int(fits.sum()) - 1][0]
     found = sparse.where(F.col("_order") <= F.lit(last)).orderBy("_order", "_label").collect()
