@@ -1,5 +1,5 @@
 from cases import CLASHING, documents
-from wickline.llm import lines
+from wickline.llm import lines, neardup
 
 
 def slim(spark, rows, **options):
@@ -107,3 +107,19 @@ def test_copies_keep_their_lines(spark):
             assert (text, wide, removed) == (own(doc), 1, 1)
         else:
             assert (text, removed) == (texts[doc], 0) and wide >= 7
+
+
+def test_own_columns_of_any_name_stay(spark):
+    from pyspark.sql import functions as F
+
+    names = ["_doc", "_text_key", "_hits", "_gone", "_parts", "_slim", "text_key", "__doc", "_listed"]
+    docs = documents(spark, [(i, f"{own(i)}\nfooter", f"s{i}") for i in range(6)])
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(i))
+    got = lines.without_widespread_lines(docs, "doc_id", "text", "source")
+    assert got.columns == [*docs.columns, "n_lines", "n_widespread", "n_removed"]
+    assert {tuple(r) for r in got.select(*names).collect()} == {tuple(range(len(names)))}
+    for stage in (lines.stage, neardup.stage):
+        kept = stage(spark, docs, "")
+        assert kept.columns == docs.columns
+        assert {tuple(r) for r in kept.select(*names).collect()} == {tuple(range(len(names)))}

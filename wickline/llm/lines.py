@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickline.llm.common import table, text_key
+from wickline.llm.common import table, text_key, unused
 from wickline.operators.keys import join_null_safe
 from wickline.session import staged
 
@@ -20,7 +20,7 @@ MIN_SITES = 5
 MARGIN = 0.25
 SKETCH_BITS = 12
 # Documents of which removal would leave less than one part in this many of the bytes are tested for
-# being copies, which are the business of document deduplication. Only copies keep their lines.
+# looking like copies, which are the business of document deduplication; those keep their lines.
 MIN_KEPT = 2
 BLANKS = " \t\r"
 # Lines that are followed outwards from a line, to tell a block of boilerplate from a copied text.
@@ -139,44 +139,45 @@ def without_widespread_lines(
     ``min_sites`` sites; ``n_removed``: those taken out, which is ``n_widespread`` or 0. Lines are
     compared without blanks at their ends; blank lines stay. NULL texts stay NULL, NULL documents and
     repeated rows are treated as rows of their own text, NULL sites spread nothing. An empty table
-    gives no rows. All other columns are kept, whatever their names. The rows of one frequent line
+    gives no rows. All other columns are kept. The rows of one frequent line
     meet only in sketches, in counts and in sets of sites.
 
-    Only a copy keeps its widespread lines, for they spread because the document did. Tested are the
-    documents of which less than one part in ``min_kept`` of the bytes would be left. One is a copy if no
-    word would be left, or if more than half of the bytes of its widespread lines are in runs that have
-    the same lines (or the end of the text) around them elsewhere: in a copy with changed lines, what
-    stood there before the change is still there in the others. Boilerplate stands among other lines in
-    each document, so it is taken out whatever its share.
+    A document keeps all its lines if less than one part in ``min_kept`` of its bytes would be left, and it
+    looks like a copy of a document that spread as a whole: no word would be left, or more than half of the
+    bytes of its widespread lines are in runs that are bound at both ends, as ``_bound`` says. Boilerplate
+    stands among other lines in each document; the lines of a copy have the same ones around them elsewhere.
+    Texts are not compared: of equal texts with half or more of their bytes their own, all lose the lines
+    that are boilerplate in them. Every other document loses its widespread lines.
+
+    The columns ``n_lines``, ``n_widespread`` and ``n_removed`` of ``df``, if there are any, are replaced.
     """
     boiler = widespread_lines(df, text, site, min_sites)
-    keys = ["_doc", "_text_key"]
-    keyed = df.withColumns({"_doc": F.col(doc), "_text_key": text_key(F.col(text))})
+    d, k, h, g, p, s = unused(df, "_doc", "_text_key", "_hits", "_gone", "_parts", "_slim")
+    keyed = df.withColumns({d: F.col(doc), k: text_key(F.col(text))})
     hits = staged(_lines_between(
-        keyed, text, F.col("_doc"), F.col("_text_key"), F.col(site).alias("_site")
+        keyed, text, F.col(d), F.col(k), F.col(site).alias("_site")
     ).join(boiler, _LINE, "left_semi"), "hits")
     placed = hits.join(_bound(hits, min_sites), _LINE)
-    gone = placed.groupBy(*keys).agg(F.collect_set(F.struct(
+    gone = placed.groupBy(d, k).agg(F.collect_set(F.struct(
         F.col("_at").alias("at"), F.col("_pos").alias("pos"), F.col("_size").alias("size"),
-        F.col("_bound_before").alias("before"), F.col("_bound_after").alias("after"))).alias("_hits"))
-    gone = gone.withColumns({"_hits": F.array_sort("_hits"), "_gone": F.col("_hits.pos")})
-    marked = join_null_safe(keyed, gone, keys, "left")
-    parts = F.split(F.col(text), "\n")
-    places = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "_gone")
-    slim = F.array_join(F.transform(places, lambda i: F.get(F.col("_parts"), i)), "\n")
-    marked = marked.withColumn("_parts", parts).withColumn(
-        "_slim", F.when(F.col("_gone").isNotNull(), slim))
-    little = F.octet_length("_slim") * min_kept < F.octet_length(text)
-    wide = F.aggregate("_hits", F.lit(0).cast("bigint"), lambda n, hit: n + hit["size"])
-    copy = ~F.col("_slim").rlike(WORD) | (_bound_bytes(F.col("_hits")) * 2 > wide)
-    removes = F.col("_gone").isNotNull() & ~F.when(little, copy).otherwise(False)
-    spread = F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))
+        F.col("_bound_before").alias("before"), F.col("_bound_after").alias("after"))).alias(h))
+    gone = gone.withColumn(h, F.array_sort(h)).withColumn(g, F.col(h)["pos"])
+    marked = join_null_safe(keyed, gone, [d, k], "left")
+    marked = marked.withColumn(p, F.split(F.col(text), "\n"))
+    places = F.array_except(F.sequence(F.lit(0), F.size(p) - 1), g)
+    slim = F.array_join(F.transform(places, lambda i: F.get(F.col(p), i)), "\n")
+    marked = marked.withColumn(s, F.when(F.col(g).isNotNull(), slim))
+    little = F.octet_length(s) * min_kept < F.octet_length(text)
+    wide = F.aggregate(h, F.lit(0).cast("bigint"), lambda n, hit: n + hit["size"])
+    copy = ~F.col(s).rlike(WORD) | (_bound_bytes(F.col(h)) * 2 > wide)
+    removes = F.col(g).isNotNull() & ~F.when(little, copy).otherwise(False)
+    spread = F.when(F.col(g).isNull(), 0).otherwise(F.size(g))
     return marked.withColumns({
-        "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size("_parts")).cast("bigint"),
+        "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(p)).cast("bigint"),
         "n_widespread": spread.cast("bigint"),
-        "n_removed": F.when(removes, F.size("_gone")).otherwise(0).cast("bigint"),
-        text: F.when(removes, F.col("_slim")).otherwise(F.col(text)),
-    }).drop("_doc", "_text_key", "_gone", "_hits", "_parts", "_slim")
+        "n_removed": F.when(removes, F.size(g)).otherwise(0).cast("bigint"),
+        text: F.when(removes, F.col(s)).otherwise(F.col(text)),
+    }).drop(d, k, g, h, p, s)
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -191,6 +192,14 @@ def query(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def _far_side(hop: int) -> str:
+    """A side is bound as far as one neighbour more: so is the usual neighbour's, if that is widespread."""
+    return f"""
+far{hop} AS (
+  SELECT s.bare, s.ahead, s.next, s.bound AND coalesce(f.bound, true) AS bound
+  FROM sides s LEFT JOIN far{hop - 1} f ON f.bare = s.next AND f.ahead = s.ahead),"""
+
+
 CHECK = f"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, source, text FROM documents),
 pieces AS (
@@ -201,13 +210,40 @@ trimmed AS (SELECT *, trim(line, concat(' ', chr(9), chr(13))) AS bare FROM piec
 wide AS (
   SELECT bare FROM trimmed WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= {MIN_SITES}),
 marked AS (SELECT t.*, bare IN (FROM wide) AS gone FROM trimmed t),
+inked AS (
+  SELECT rid, source, pos, bare, gone, row_number() OVER w AS place, lag(bare) OVER w AS before, lead(bare) OVER w AS after
+  FROM marked WHERE bare <> '' WINDOW w AS (PARTITION BY rid ORDER BY pos)),
+hits AS (FROM inked WHERE gone),
+ends AS (
+  SELECT bare, true AS ahead, before AS next, source FROM hits
+  UNION ALL SELECT bare, false, after, source FROM hits),
+nexts AS (SELECT bare, ahead, next, count(*) AS n, count(DISTINCT source) AS sites FROM ends GROUP BY ALL),
+totals AS (SELECT bare, ahead, sum(n) AS total FROM nexts GROUP BY ALL),
+sides AS (
+  SELECT t.bare, t.ahead, n.next, n.n IS NOT NULL AS bound FROM totals t LEFT JOIN nexts n
+  ON n.bare = t.bare AND n.ahead = t.ahead AND n.sites >= {MIN_SITES} AND 2 * n.n > t.total),
+far0 AS (FROM sides),{"".join(_far_side(i) for i in range(1, HOPS + 1))}
+bound AS (
+  SELECT bare, bool_or(ahead AND bound) AS before, bool_or(NOT ahead AND bound) AS after FROM far{HOPS} GROUP BY bare),
+runs AS (
+  SELECT rid, place - row_number() OVER (PARTITION BY rid ORDER BY place) AS run, place, strlen(h.bare) AS size,
+    b.before, b.after
+  FROM hits h JOIN bound b ON b.bare = h.bare),
+whole AS (
+  SELECT rid, sum(size) AS size, CASE WHEN first(before ORDER BY place) AND last(after ORDER BY place)
+    THEN sum(size) ELSE 0 END AS copied
+  FROM runs GROUP BY rid, run),
+shares AS (SELECT rid, sum(size) AS size, sum(copied) AS copied FROM whole GROUP BY rid),
 rebuilt AS (
   SELECT rid, count(*) AS n_lines, count(*) FILTER (gone) AS n_widespread,
          coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS slim
-  FROM marked GROUP BY rid)
-SELECT d.doc_id, coalesce(r.n_lines, 0)::BIGINT AS n_lines, coalesce(r.n_widespread, 0)::BIGINT AS n_widespread,
-  CASE WHEN strlen(slim) * {MIN_KEPT} >= strlen(text) THEN n_widespread ELSE 0 END::BIGINT AS n_removed,
-  sha256(CASE WHEN n_widespread > 0 AND strlen(slim) * {MIN_KEPT} >= strlen(text) THEN slim ELSE text END)
-    AS text_sha256
-FROM docs d LEFT JOIN rebuilt r USING (rid)
+  FROM marked GROUP BY rid),
+judged AS (
+  SELECT d.doc_id, d.text, r.*, n_widespread > 0 AND NOT (strlen(slim) * {MIN_KEPT} < strlen(d.text)
+    AND (NOT regexp_matches(slim, '{WORD}') OR 2 * copied > size)) AS removes
+  FROM docs d LEFT JOIN rebuilt r USING (rid) LEFT JOIN shares USING (rid))
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_widespread, 0)::BIGINT AS n_widespread,
+  CASE WHEN removes THEN n_widespread ELSE 0 END::BIGINT AS n_removed,
+  sha256(CASE WHEN removes THEN slim ELSE text END) AS text_sha256
+FROM judged
 """
