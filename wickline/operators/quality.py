@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wickline import schemas
@@ -167,9 +167,36 @@ def date_spine(df: DataFrame, start: str, end: str, name: str = "day") -> DataFr
     return months.select(*keep, F.explode(days).alias(name))
 
 
-def missing_days(silver: DataFrame, by: str | Sequence[str] = "symbol") -> DataFrame:
-    """Days without a row between the first and the last day of each series."""
+def _bit(day: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1), F.dayofmonth(day) - 1)
+
+
+def day_masks(silver: DataFrame, by: str | Sequence[str] = "symbol") -> DataFrame:
+    """(by..., month_start, mask, first_day, last_day): the days of each series' month that have a row, a bit each."""
+    return silver.where(F.col("day").isNotNull()).groupBy(*names(by), F.trunc("day", "month").alias("month_start")).agg(
+        F.bit_or(_bit(F.col("day"))).alias("mask"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+
+
+def missing_of_masks(masks: DataFrame, by: str | Sequence[str] = "symbol") -> DataFrame:
+    """(by..., day): days between a series' first and last that have no bit. Months without a row have no mask:
+    they follow the month before them."""
     by = names(by)
-    spans = silver.groupBy(*by).agg(F.min("day").alias("_first"), F.max("day").alias("_last"))
-    spine = date_spine(spans, "_first", "_last", "day")
-    return join_null_safe(spine, silver.select(*by, "day"), [*by, "day"], "left_anti")
+    months = Window.partitionBy(*by).orderBy("month_start")
+    later = F.lead("month_start").over(months)
+    rows = masks.withColumns({
+        "_until": F.coalesce(F.date_sub(later, 1), F.col("last_day")),
+        "_from": F.when(F.lag("month_start").over(months).isNull(), F.col("first_day")).otherwise(F.col("month_start"))})
+    rows = rows.select(*by, "month_start", "mask", "_from", "_until", F.explode(F.sequence(
+        "month_start", F.trunc("_until", "month"), F.expr("INTERVAL 1 MONTH"))).alias("_month"))
+    days = F.sequence(F.greatest("_from", "_month"), F.least("_until", F.last_day("_month")), F.expr("INTERVAL 1 DAY"))
+    own = F.when(F.col("_month") == F.col("month_start"), F.col("mask")).otherwise(0)
+    free = F.filter(days, lambda d: F.col("_mask").bitwiseAND(_bit(d)) == 0)
+    return rows.withColumn("_mask", own).select(*by, F.explode(free).alias("day"))
+
+
+def missing_days(silver: DataFrame, by: str | Sequence[str] = "symbol") -> DataFrame:
+    """Days without a row between the first and the last day of each series.
+
+    One aggregate: a bit mask per series and month, compared with the days of the calendar.
+    """
+    return missing_of_masks(day_masks(silver, by), by)

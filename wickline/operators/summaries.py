@@ -9,35 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wickline.functions import candle as C
-from wickline.functions.clock import month_start
 from wickline.operators.keys import attach, join_null_safe
-from wickline.operators.quantile import BUFFER_ROWS, ranked_median
+from wickline.operators.quantile import BUFFER_ROWS, selected_median
 from wickline.operators.series import split_by_size
+from wickline.operators.states import month_states, monthly_of_states
 from wickline.session import staged
 
 
 def monthly_summary(daily: DataFrame) -> DataFrame:
     """One row per symbol and month. Returns compare the last close with the month's first open."""
-    first_open, last_close = F.min_by("open", "day"), F.max_by("close", "day")
-    high, low = F.max("high"), F.min("low")
-    return daily.groupBy(
-        "symbol", month_start(F.col("day")).alias("month_start"), "year", "month", "year_month"
-    ).agg(
-        first_open.alias("open_m"),
-        last_close.alias("close_m"),
-        high.alias("high_m"),
-        low.alias("low_m"),
-        F.round(C.pct_change(last_close, first_open), 2).alias("return_pct"),
-        F.round(C.range_pct(high, low, first_open), 2).alias("range_pct"),
-        F.sum("volume").alias("volume"),
-        F.sum("quote_volume_est").alias("quote_volume_est"),
-        F.sum("num_trades").alias("num_trades"),
-        F.count("*").alias("days"),
-        F.count_if(F.col("change_pct") > 0).alias("up_days"),
-        F.count_if(F.col("change_pct") < 0).alias("down_days"),
-        F.round(C.annualized_pct(F.stddev_samp("log_return")), 2).alias("vol_annual_pct"),
-        F.min("drawdown_pct").alias("worst_drawdown_pct"),
-    )
+    return monthly_of_states(month_states(daily))
 
 
 def weekday_seasonality(daily: DataFrame, buffer_rows: int = BUFFER_ROWS) -> DataFrame:
@@ -55,7 +36,7 @@ def weekday_seasonality(daily: DataFrame, buffer_rows: int = BUFFER_ROWS) -> Dat
     small, large = split_by_size(rows, by, buffer_rows)
     result = small.groupBy(*by).agg(*measures, F.percentile("change_pct", 0.5).alias("_median"))
     if large is not None:
-        medians = ranked_median(large, by, "change_pct", "_median", ["day"])
+        medians = selected_median(large, by, "change_pct", "_median", ["day"])
         result = result.unionByName(
             join_null_safe(large.groupBy(*by).agg(*measures), medians, by, "left"))
     return result.select(
