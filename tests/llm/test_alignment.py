@@ -43,8 +43,8 @@ def parts(tools, text):
     return left, right
 
 
-def brute(tools, rows):
-    held, counts = [], Counter()
+def aligned(tools, rows):
+    held = []
     for doc, text in rows:
         left, right = parts(tools, text)
         spans = []
@@ -55,13 +55,18 @@ def brute(tools, rows):
                 spans[-1].append((i, at, at + len(x)))
                 at += len(x)
         links = [(i, j) for i, s, e in spans[0] for j, t, f in spans[1] if max(s, t) < min(e, f)]
-        counts.update(links)
         cuts = sorted({e for _, _, e in spans[0]} & {e for _, _, e in spans[1]})
         groups, last = [], 0
         for cut in cuts:
             groups.append("|".join(",".join(str(i) for i, s, e in side if last < e <= cut) for side in spans))
             last = cut
         held.append((doc, left, right, groups, links))
+    return held
+
+
+def brute(tools, rows):
+    held = aligned(tools, rows)
+    counts = Counter(x for *_, links in held for x in links)
     most = defaultdict(int)
     for (i, j), n in counts.items():
         most[j] = max(most[j], n)
@@ -94,8 +99,13 @@ def test_slices_do_not_matter(tools):
     pick = random.Random(4)
     texts = [*AWKWARD, *["".join(pick.choice("ab é\n日<>▁x") for _ in range(pick.randrange(60))) for _ in range(60)]]
     aligner = alignment.aligner(A_FILE, B_FILE)
-    whole = aligner.slice(texts, True)
-    single = [aligner.slice([t], True) for t in texts]
+
+    def cut(texts):
+        raw = [(t or "").encode() for t in texts]
+        return aligner.slice(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(r) for r in raw])), True)
+
+    whole, single = cut(texts), [cut([t]) for t in texts]
+    assert whole["groups"] == [";".join(groups) for _, _, _, groups, _ in aligned(tools, list(enumerate(texts)))]
     assert whole["groups"] == [s["groups"][0] for s in single]
     total = Counter()
     for s in single:

@@ -73,9 +73,9 @@ def test_words_of_one_polynomial_hash(library):
     assert [bpe.coder(PATH).decode(ids) for ids in got] == [t.encode() for t in texts]
 
 
-def test_pieces_are_told_apart_by_their_bytes():
+def test_pieces_aretold_apart_by_their_bytes():
     data = np.frombuffer(b"oneonetwoonethree", np.uint8)
     starts, ends = np.array([0, 3, 6, 9, 12]), np.array([3, 6, 9, 12, 17])
-    word, first = bpe._told_apart(data, starts, ends, np.zeros(5, np.uint64))
+    word, first = bpe.told_apart(data, starts, ends, np.zeros(5, np.uint64))
     found = [data[starts[k]:ends[k]].tobytes() for k in first]
     assert [found[k] for k in word] == [b"one", b"one", b"two", b"one", b"three"]

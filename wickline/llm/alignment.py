@@ -12,6 +12,7 @@ words make most of a text, so a group costs little more than a byte.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,13 +22,13 @@ from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickline.llm.common import map_arrow, mix, prepared, sliced, table
+from wickline.llm import bpe
+from wickline.llm.common import map_arrow, mix, prepared, sliced, table, utf8, word_hashes
 from wickline.session import staged
 
-# Bytes of text aligned together, and encoded by one call; they bound the memory of a task, whatever the
-# texts; a longer single text is taken whole.
+# Bytes of text encoded and aligned together. Bounds the memory of a task, whatever the texts; a longer
+# single text is taken whole.
 SLICE_BYTES = 4 << 20
-CALL_BYTES = 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -39,39 +40,100 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-class ByteLevel:
-    """A byte-level BPE file. A text is encoded with a space before it; special tokens are plain text."""
+class Merges(bpe.Ranks):
+    """The merges of a byte-level BPE file, in place of a rank file: only the pairs listed there are merged."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        with open(path) as file:
+            model = json.load(file)["model"]
         letter = byte_letters()
-        self.token = []
-        for i in range(self.tokenizer.get_vocab_size()):
-            self.token.append(bytes(letter[c] for c in self.tokenizer.id_to_token(i)))
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.ids = {bytes(letter[c] for c in token): i for token, i in model["vocab"].items()}
+        self.token = [b""] * (max(self.ids.values()) + 1)
+        for token, i in self.ids.items():
+            self.token[i] = token
+        self.byte = np.array([self.ids[bytes([b])] for b in range(256)], np.int32)
+        left, right, made = (np.array([model["vocab"][x] for x in side], np.int64) for side in (
+            [a for a, _ in pairs], [b for _, b in pairs], [a + b for a, b in pairs]))
+        if (np.diff(made) <= 0).any() or model.get("ignore_merges"):
+            raise ValueError("token ids must be in the order of the merges")
+        self.upsets = np.zeros(len(self.token), bool)
+        for part in (left, right):
+            self.upsets[part[part > made]] = True
+        self._store(left, right, made.astype(np.int32))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in found]
+
+class ByteLevel:
+    """A byte-level BPE file, encoded by replaying its merges over the distinct pieces of a slice. Special
+    tokens are plain text."""
+
+    def __init__(self, path: str):
+        self.coder = bpe.Coder(Merges(path))
+        self.coder.lone = self.coder.lone[:0]
+        self.token = self.coder.ranks.token
+
+    def flat(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, offsets of each text's ids); a text begins with a space."""
+        return self.coder.flat(data, offsets)
 
 
 class Pieces:
-    """A piece model, which puts the space before a text itself."""
+    """A piece model, which puts the space before a text itself.
+
+    Where no piece has a space after another sign and texts are not normalized, a space always begins a
+    piece. Then the stretches from space to space are encoded each for itself, every distinct one once.
+    """
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
+        from sentencepiece.sentencepiece_model_pb2 import ModelProto
 
         self.model = SentencePieceProcessor(model_file=path)
+        shape = ModelProto.FromString(self.model.serialized_model_proto())
         self.token = []
         for i in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(i)
             self.token.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(i)
                               else piece.replace("▁", " ").encode())
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+        how = shape.normalizer_spec
+        self.space = self.model.piece_to_id("▁")
+        self.apart = (how.name == "identity" and how.add_dummy_prefix and not how.remove_extra_whitespaces
+                      and not any(" " in token.lstrip(b" ").decode(errors="replace") for token in self.token))
+
+    def _ids(self, whole: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of strings that begin with a space, which the model adds itself."""
+        found = self.model.encode([w[1:] for w in whole], num_threads=1)
+        found = [ids if len(w) > 1 else [self.space] for w, ids in zip(whole, found)]
+        sizes = np.array([len(ids) for ids in found], np.int64)
+        return np.fromiter((i for ids in found for i in ids), np.int64, int(sizes.sum())), np.append(0, np.cumsum(sizes))
+
+    def flat(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, offsets of each text's ids, whether the bytes of each text's tokens are the text's)."""
+        blank = data == 32
+        starts = offsets[:-1]
+        if self.apart and len(data):
+            begins = blank.copy()
+            begins[1:] &= ~blank[:-1]
+            begins[offsets[:-1]] = True
+            starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(data))[: len(starts)]
+        word, first = bpe.told_apart(data, starts, ends, word_hashes(data, starts, ends))
+        raw = [data[a:b].tobytes() for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        ids, edges = self._ids([r.decode() for r in raw])
+        listed = ids.tolist()
+        good = np.array([b"".join(map(self.token.__getitem__, listed[a:b])) == r
+                         for r, a, b in zip(raw, edges[:-1].tolist(), edges[1:].tolist())], bool)
+        sizes = np.diff(edges)[word]
+        until = np.append(0, np.cumsum(sizes))
+        every = ids[np.repeat(edges[:-1][word] - until[:-1], sizes) + np.arange(until[-1])]
+        text = np.searchsorted(starts, offsets)
+        text_edges = until[text]
+        right = np.append(0, np.cumsum(~good[word]))[text]
+        right = right[1:] == right[:-1]
+        for i in np.flatnonzero(~right).tolist():
+            own = every[text_edges[i] : text_edges[i + 1]].tolist()
+            right[i] = b"".join(map(self.token.__getitem__, own)) == data[offsets[i] : offsets[i + 1]].tobytes()
+        return every, text_edges, right
 
 
 @dataclass
@@ -173,6 +235,14 @@ def _kinds(codes: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return first[order], rank[kind]
 
 
+def _spaced(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts with a space before each."""
+    n = len(offsets) - 1
+    out = np.full(len(data) + n, 32, np.uint8)
+    out[np.arange(len(data)) + np.repeat(np.arange(1, n + 1), np.diff(offsets))] = data
+    return out, offsets + np.arange(n + 1)
+
+
 class Aligner:
     """Two tokenizers, with the bytes of their tokens."""
 
@@ -183,53 +253,50 @@ class Aligner:
         self.ids = max(len(a.token), len(b.token))
         self.shown = [str(i).encode() + sign for sign in (b",", b"|", b";") for i in range(self.ids)]
 
-    def tokens(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-        """A and B ids of every text; none where the bytes of the tokens are not those of space + text."""
-        left, right = [[] for _ in texts], [[] for _ in texts]
-        chosen, held = [], 0
-        for i, text in enumerate([*texts, None]):
-            if chosen and (i == len(texts) or held > CALL_BYTES):
-                own = [texts[k] for k in chosen]
-                for k, x, y in zip(chosen, self.a.encode(own), self.b.encode(own)):
-                    whole = b" " + texts[k].encode()
-                    if b"".join(map(self.a.token.__getitem__, x)) == whole and b"".join(
-                            map(self.b.token.__getitem__, y)) == whole:
-                        left[k], right[k] = x, y
-                chosen, held = [], 0
-            if text:
-                chosen.append(i)
-                held += len(text)
-        return left, right
-
-    def slice(self, texts: list[str | None], detail: bool) -> dict:
-        """Everything about one slice, ready to be stored: see ``_SLICE``."""
-        left, right = self.tokens(texts)
-        n_a, n_b = np.array([len(x) for x in left]), np.array([len(x) for x in right])
-        a = np.fromiter((i for x in left for i in x), np.int64, int(n_a.sum()))
-        b = np.fromiter((i for x in right for i in x), np.int64, int(n_b.sum()))
-        del left, right
+    def tokens(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(A ids, their number per text, B ids, their number) of the texts; none for empty texts and where the
+        bytes of the tokens are not those of space + text."""
+        some = np.flatnonzero(np.diff(offsets))
+        data, offsets, _ = bpe.repaired(data, offsets)
+        data, offsets = _spaced(data, np.append(offsets[some], len(data)))
+        a, a_edges = self.a.flat(data, offsets)
+        b, b_edges, good = self.b.flat(data, offsets)
+        out = []
+        for ids, edges in ((a, a_edges), (b, b_edges)):
+            counts = np.zeros(len(good), np.int64) + np.diff(edges)
+            out += [ids[np.repeat(good, counts)].astype(np.int64), np.where(good, counts, 0)]
+        return out[0], out[1], out[2], out[3], some
+
+    def slice(self, data: np.ndarray, offsets: np.ndarray, detail: bool = False) -> dict:
+        """Everything about one slice of texts (UTF-8 bytes and offsets), ready to be stored: see ``_SLICE``."""
+        a, some_a, b, some_b, some = self.tokens(data, offsets)
+        n_a, n_b = np.zeros((2, len(offsets) - 1), np.int64)
+        n_a[some], n_b[some] = some_a, some_b
         groups = aligned_groups(self.a_size[a], self.b_size[b])
         a_edges, b_edges = np.append(0, np.cumsum(n_a)), np.append(0, np.cumsum(n_b))
         group_edges = np.append(groups.of_b, groups.count)[b_edges]
         link_edges = np.searchsorted(groups.link_a, a_edges)
+        codes = (a[groups.link_a] << 32) | b[groups.link_b]
+        edges = np.searchsorted(groups.of_a[groups.link_a], np.arange(groups.count + 1))
+        first, kind = _kinds(codes, edges)
+        # The ids of a kind are shown once; a text is the kinds of its groups.
         shown = _ordered(groups, a, b, self.ids)
+        begin = np.searchsorted(groups.of_a, first) + np.searchsorted(groups.of_b, first)
+        end = np.searchsorted(groups.of_a, first, "right") + np.searchsorted(groups.of_b, first, "right")
+        named = [b"".join(map(self.shown.__getitem__, shown[s:e].tolist())) for s, e in zip(begin.tolist(), end.tolist())]
         digests, listed = [], []
-        for s, e in zip((a_edges + b_edges)[:-1].tolist(), (a_edges + b_edges)[1:].tolist()):
-            row = b"".join(map(self.shown.__getitem__, shown[s:e].tolist()))[:-1]
+        for s, e in zip(group_edges[:-1].tolist(), group_edges[1:].tolist()):
+            row = b"".join(map(named.__getitem__, kind[s:e].tolist()))[:-1]
             digests.append(hashlib.sha256(row).hexdigest() if e > s else "")
             if detail:
                 listed.append(row.decode())
-        codes = (a[groups.link_a] << 32) | b[groups.link_b]
-        own = groups.of_a[groups.link_a]
-        edges = np.searchsorted(own, np.arange(groups.count + 1))
-        first, kind = _kinds(codes, edges)
         sizes = (edges[1:] - edges[:-1])[first]
         inner = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         pairs, place = np.unique(codes[np.repeat(edges[:-1][first], sizes) + inner], return_inverse=True)
         often = np.repeat(np.bincount(kind, minlength=len(first)), sizes)
         counts = np.bincount(place, weights=often, minlength=len(pairs)).astype(np.int64)
         return {"n_a": n_a, "n_b": n_b, "n_groups": np.diff(group_edges), "n_links": np.diff(link_edges),
-                "groups_sha256": digests, "groups": listed if detail else [None] * len(texts), "pairs": pairs,
+                "groups_sha256": digests, "groups": listed if detail else [None] * len(n_a), "pairs": pairs,
                 "counts": counts, "kinds": _packed(kind), "sizes": _packed(sizes), "places": _packed(place)}
 
 
@@ -259,7 +326,9 @@ def linked_slices(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for part in sliced(batches, SLICE_BYTES):
-            out = aligner(a_file, b_file).slice(part.column("_text").to_pylist(), detail)
+            column = part.column("_text").combine_chunks()
+            column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+            out = aligner(a_file, b_file).slice(*utf8(column), detail)
             doc_type = pa.list_(part.schema.field("_doc").type)
             columns = {"slice": pa.array([number], pa.int64()),
                        "doc": pa.array([part.column("_doc").to_pylist()], doc_type),

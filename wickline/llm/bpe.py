@@ -226,7 +226,7 @@ def pieces(points: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> np.n
     return np.flatnonzero(starts)
 
 
-def _repaired(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, str]:
+def repaired(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, str]:
     """The texts as one string; bytes that are not UTF-8 become replacement characters."""
     raw = data.tobytes()
     try:
@@ -237,7 +237,7 @@ def _repaired(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
         return np.frombuffer(raw, np.uint8), np.append(0, np.cumsum([len(r) for r in rows])), raw.decode()
 
 
-def _told_apart(
+def told_apart(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """(word of each piece, first piece of each word). Pieces of one hash are one word if their bytes are equal;
@@ -258,8 +258,8 @@ def _told_apart(
 class Coder:
     """Encodes and decodes whole texts with one rank file."""
 
-    def __init__(self, path: str):
-        self.ranks = Ranks(path)
+    def __init__(self, ranks: str | Ranks):
+        self.ranks = Ranks(ranks) if isinstance(ranks, str) else ranks
         self.classes = _classes()
         # Tokens that merging does not reach: a piece that is one of them is taken whole.
         raw = np.frombuffer(b"".join(self.ranks.token), np.uint8)
@@ -272,14 +272,14 @@ class Coder:
 
     def words(self, data: np.ndarray, offsets: np.ndarray):
         """(ids and offsets of the distinct pieces, index of each piece's word, first piece of each text)."""
-        data, offsets, text = _repaired(data, offsets)
+        data, offsets, text = repaired(data, offsets)
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         lead = np.flatnonzero((data & 0xC0) != 0x80)
         begins = pieces(points, np.searchsorted(lead, offsets), self.classes)
         starts = lead[begins]
         ends = np.append(starts[1:], len(data))
         hashes = word_hashes(data, starts, ends)
-        word, first = _told_apart(data, starts, ends, hashes)
+        word, first = told_apart(data, starts, ends, hashes)
         sizes = ends[first] - starts[first]
         bounds = np.append(0, np.cumsum(sizes))
         own = data[np.repeat(starts[first] - bounds[:-1], sizes) + np.arange(bounds[-1])]
