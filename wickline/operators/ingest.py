@@ -78,6 +78,19 @@ def high_water_mark(
         F.coalesce(F.max(closed_time), F.lit(default)).alias("mark"))
 
 
+def period_marks(bronze: DataFrame, *period: str) -> DataFrame:
+    """One row per series and ``period`` columns: what load checks and marks need of these rows."""
+    return bronze.groupBy(*period, "symbol_raw").agg(
+        F.max(F.when(F.col("is_closed"), F.col("close_time"))).alias("closed_until"), F.count("*").alias("rows"),
+        F.min("open_time").alias("first_open"), F.max("open_time").alias("last_open"),
+        F.sum(F.when(F.col("is_closed"), 0).otherwise(1)).alias("open_rows"))
+
+
+def marks_of_periods(periods: DataFrame, default: datetime = BOOTSTRAP) -> DataFrame:
+    """``high_water_mark`` from the summaries of the stored periods, without reading the table."""
+    return periods.groupBy("symbol_raw").agg(F.coalesce(F.max("closed_until"), F.lit(default)).alias("mark"))
+
+
 def confirmed_slice(
     src: DataFrame, mark: DataFrame, cutoff: Column, default: datetime = BOOTSTRAP,
     by: str | Sequence[str] = "symbol_raw",
@@ -122,11 +135,24 @@ BRONZE_KEYS = ("symbol_raw", "open_time")
 BRONZE_ORDER = ("is_closed", "ingest_ts_utc")
 
 
-def both_tracks(src: DataFrame, bronze: DataFrame, as_of: datetime, interval: str) -> DataFrame:
-    """Rows to land: newly confirmed candles and the running candle."""
+def both_tracks(
+    src: DataFrame, bronze: DataFrame | None, as_of: datetime, interval: str, marks: DataFrame | None = None,
+    new_series: bool = True,
+) -> DataFrame:
+    """Rows to land: newly confirmed candles and the running candle.
+
+    ``marks`` (of ``marks_of_periods``) spare a scan of ``bronze``. Where the caller knows that ``src`` has no
+    series that is new, the lowest mark goes into the scan of ``src`` as a literal; candles of a new series may
+    be older than that.
+    """
     cutoff = safe_cutoff(F.lit(as_of), interval)
     # One row per series; staged, so that Spark knows its size when it joins.
-    confirmed = confirmed_slice(src, staged(high_water_mark(bronze), "marks"), cutoff)
+    marks = staged(high_water_mark(bronze) if marks is None else marks, "marks")
+    fresh = src
+    if not new_series:
+        lowest = marks.agg(F.min("mark")).first()[0]
+        fresh = src.where(F.col("open_time") >= F.lit(BOOTSTRAP if lowest is None else lowest))
+    confirmed = confirmed_slice(fresh, marks, cutoff)
     return stamp_lineage(confirmed, as_of, True).unionByName(
         stamp_lineage(open_slice(src, as_of), as_of, False))
 

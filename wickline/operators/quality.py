@@ -142,6 +142,13 @@ def load_check(bronze: DataFrame) -> DataFrame:
     )
 
 
+def check_of_periods(periods: DataFrame) -> DataFrame:
+    """``load_check`` from the summaries of the stored periods."""
+    return periods.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total"), F.min("first_open").alias("first_open"),
+        F.max("last_open").alias("last_open"), F.sum("open_rows").alias("open_candles"))
+
+
 def series_completeness(silver: DataFrame) -> DataFrame:
     """Loaded against expected days, and open candles, per symbol."""
     first, last = F.min("day"), F.max("day")
@@ -171,10 +178,22 @@ def _bit(day: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1), F.dayofmonth(day) - 1)
 
 
-def day_masks(silver: DataFrame, by: str | Sequence[str] = "symbol") -> DataFrame:
-    """(by..., month_start, mask, first_day, last_day): the days of each series' month that have a row, a bit each."""
-    return silver.where(F.col("day").isNotNull()).groupBy(*names(by), F.trunc("day", "month").alias("month_start")).agg(
-        F.bit_or(_bit(F.col("day"))).alias("mask"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+def day_masks(silver: DataFrame, by: str | Sequence[str] = "symbol", *period: str) -> DataFrame:
+    """(by..., month_start, mask, first_day, last_day, days_loaded, open_candles) of each series' month; ``mask``
+    has a bit for each day with a row. ``period`` columns are kept."""
+    return silver.where(F.col("day").isNotNull()).groupBy(
+        *period, *names(by), F.trunc("day", "month").alias("month_start")).agg(
+        F.bit_or(_bit(F.col("day"))).alias("mask"), F.min("day").alias("first_day"), F.max("day").alias("last_day"),
+        F.count("*").alias("days_loaded"), F.count_if(~F.col("is_closed")).alias("open_candles")
+        if "is_closed" in silver.columns else F.lit(0).cast("bigint").alias("open_candles"))
+
+
+def completeness_of_masks(masks: DataFrame) -> DataFrame:
+    """``series_completeness`` from the months' masks."""
+    first, last = F.min("first_day"), F.max("last_day")
+    return masks.groupBy("symbol").agg(
+        first.alias("first_day"), last.alias("last_day"), F.sum("days_loaded").alias("days_loaded"),
+        (F.datediff(last, first) + 1).alias("days_expected"), F.sum("open_candles").alias("open_candles"))
 
 
 def missing_of_masks(masks: DataFrame, by: str | Sequence[str] = "symbol") -> DataFrame:

@@ -33,5 +33,8 @@ class Lake:
     def history(self) -> str:
         return f"{self.root}/history"
 
+    def checks(self, table: str) -> str:
+        return f"{self.root}/checks/{table}"
+
     def gold(self, table: str) -> str:
         return f"{self.root}/gold/{table}"

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from wickline import schemas
 from wickline.operators.indicators import HALO, daily_indicators, daily_tail
 from wickline.operators.ingest import (
-    BRONZE_KEYS, BRONZE_ORDER, both_tracks, faulty_klines, normalize_klines,
+    BRONZE_KEYS, BRONZE_ORDER, both_tracks, faulty_klines, marks_of_periods, normalize_klines, period_marks,
 )
 from wickline.operators.merge import (
     DURATION_MS, OUTPUT_ROWS, dedup_latest, later_version, newer_or_closing,
@@ -24,10 +24,13 @@ from wickline.operators.merge import (
 from wickline.operators.keys import attach
 from wickline.operators.monitor import MERGE_OPERATION, REBUILD_OPERATIONS, SILVER_TABLE
 from wickline.operators.quality import (
-    clean_candles, clean_symbol, latest_versions, load_check, missing_days, quality_reason,
-    series_completeness, silver_rows, split_valid_rejected, store_rejects, typed_candles,
+    check_of_periods, clean_candles, clean_symbol, completeness_of_masks, day_masks, latest_versions,
+    missing_of_masks, quality_reason, silver_rows, split_valid_rejected, store_rejects, typed_candles,
 )
-from wickline.operators.summaries import kpi_snapshot, monthly_summary, weekday_seasonality
+from wickline.operators.states import (
+    MONTH_KEYS, asked_months, kpi_of_states, month_states, monthly_of_states, references,
+)
+from wickline.operators.summaries import weekday_seasonality
 from wickline.plans.lake import Lake
 from wickline.session import staged
 from wickline.sources.history import LOCATION, current_location, record_load
@@ -35,7 +38,8 @@ from wickline.sources.landing import (
     read_or_empty, write_landing_confirmed, write_landing_open,
 )
 from wickline.sources.tables import (
-    PART, exists, finish_merge, merge_into, read_table, replace_periods, replace_table, rows_of_days,
+    PART, exists, finish_merge, merge_into, read_periods, read_table, remove, replace_periods, replace_table,
+    rows_of_days,
 )
 
 
@@ -43,10 +47,23 @@ def _milliseconds(since: float) -> int:
     return int((time.monotonic() - since) * 1000)
 
 
-def land(spark: SparkSession, lake: Lake, src: DataFrame, as_of: datetime, interval: str = "1d") -> None:
-    """Write the newly confirmed candles and the running candles of ``src`` to the landing folder."""
-    bronze = read_table(spark, lake.bronze, schemas.BRONZE)
-    rows = staged(both_tracks(src, bronze, as_of, interval), "tracks")
+def bronze_periods(rows: DataFrame) -> DataFrame:
+    return period_marks(rows, PART)
+
+
+def silver_periods(rows: DataFrame) -> DataFrame:
+    return day_masks(rows, "symbol", PART)
+
+
+def land(
+    spark: SparkSession, lake: Lake, src: DataFrame, as_of: datetime, interval: str = "1d", new_series: bool = True
+) -> None:
+    """Write the newly confirmed candles and the running candles of ``src`` to the landing folder.
+
+    The marks come from the summaries of bronze's periods. See ``both_tracks`` for ``new_series``.
+    """
+    marks = marks_of_periods(read_periods(spark, lake.bronze, schemas.BRONZE, bronze_periods))
+    rows = staged(both_tracks(src, None, as_of, interval, marks, new_series), "tracks")
     write_landing_confirmed(rows.where("is_closed"), lake.landing)
     write_landing_open(rows.where("NOT is_closed"), lake.landing)
 
@@ -83,14 +100,24 @@ def landed_days(spark: SparkSession, lake: Lake, landed: DataFrame, grain: str =
 
 
 def check_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Rows, first and last open time and open rows of bronze, as looked at after every merge."""
-    return load_check(read_table(spark, lake.bronze, schemas.BRONZE))
+    """Rows, first and last open time and open rows of bronze, from the summaries of its periods."""
+    return check_of_periods(read_periods(spark, lake.bronze, schemas.BRONZE, bronze_periods))
 
 
 def check_silver(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
-    """(completeness of every series, days without a candle), as looked at after every silver load."""
-    silver = read_table(spark, lake.silver, schemas.SILVER)
-    return series_completeness(silver), missing_days(silver)
+    """(completeness of every series, days without a candle), from the months' masks of silver."""
+    masks = read_periods(spark, lake.silver, schemas.SILVER, silver_periods)
+    return completeness_of_masks(masks), missing_of_masks(masks)
+
+
+def _record_check(rows: DataFrame, lake: Lake, table: str, run_id: str, as_of: datetime) -> None:
+    rows.withColumns({"run_id": F.lit(run_id), "checked_at": F.lit(as_of).cast("timestamp")}).coalesce(1).write.mode(
+        "append").parquet(lake.checks(table))
+
+
+def read_checks(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    """The checks that the refreshes of ``table`` (bronze, silver) have left, one set of rows per run."""
+    return spark.read.parquet(lake.checks(table))
 
 
 def refresh_bronze(
@@ -108,7 +135,8 @@ def refresh_bronze(
     counts = merge_into(
         spark, lake.bronze, dedup_latest(keyed, BRONZE_KEYS, BRONZE_ORDER), schemas.BRONZE,
         keys=BRONZE_KEYS, time_col="open_time", grain=grain,
-        update_when=later_version(BRONZE_ORDER, schemas.BRONZE.fieldNames()))
+        update_when=later_version(BRONZE_ORDER, schemas.BRONZE.fieldNames()), summary=bronze_periods)
+    _record_check(check_bronze(spark, lake), lake, "bronze", run_id, as_of)
     record_load(spark, lake.history, "bronze", MERGE_OPERATION,
                 {**counts, DURATION_MS: _milliseconds(began)})
     return counts
@@ -142,12 +170,20 @@ def refresh_silver(
     rule = newer_or_closing_protected() if protect_closed else newer_or_closing()
     counts = merge_into(
         spark, lake.silver, silver_rows(cleaned, as_of), schemas.SILVER,
-        keys=["symbol", "day"], time_col="day", update_when=rule, grain=grain)
+        keys=["symbol", "day"], time_col="day", update_when=rule, grain=grain, summary=silver_periods)
+    _check_silver(spark, lake, run_id, as_of)
     record_load(spark, lake.history, SILVER_TABLE, MERGE_OPERATION,
                 {**counts, DURATION_MS: _milliseconds(began)})
     return counts
 
 
+def _check_silver(spark: SparkSession, lake: Lake, run_id: str, as_of: datetime) -> None:
+    """Completeness per series with the number of days that are missing."""
+    completeness, _ = check_silver(spark, lake)
+    missing = (F.col("days_expected") - F.col("days_loaded")).alias("days_missing")
+    _record_check(completeness.select("*", missing), lake, "silver", run_id, as_of)
+
+
 def _daily_path(lake: Lake) -> str:
     return f"{lake.gold('daily')}/table"
 
@@ -196,35 +232,95 @@ def _refresh_daily(
     return read_table(spark, path, schema)
 
 
+def _first_day(changed: DataFrame) -> date | None:
+    return changed.where("symbol IS NOT NULL").agg(F.min("day")).first()[0]
+
+
+def _partitions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return read_or_empty(spark, path, T.StructType([*schema.fields, T.StructField(PART, T.DateType())]))
+
+
+def _plain(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+
+
+def stale_daily(stored: DataFrame, since: date | None, grain: str) -> DataFrame:
+    """Rows of the stored daily table of which the states are not known: the periods from ``since`` on."""
+    return stored if since is None else stored.where(F.col(PART) >= F.trunc(F.lit(since), grain))
+
+
+def recent_daily(stored: DataFrame, months: list[date], grain: str) -> DataFrame:
+    """Rows of the stored daily table in the periods of ``months``."""
+    return stored.where(F.col(PART).isin([date(m.year, 1 if grain == "year" else m.month, 1) for m in months]))
+
+
+def _refresh_months(
+    spark: SparkSession, lake: Lake, daily: DataFrame, since: date | None, grain: str
+) -> tuple[DataFrame, DataFrame]:
+    """Renew the states and the monthly rows of the periods from ``since`` on (all, if None): (states, monthly)."""
+    states_path, monthly_path = (f"{lake.gold(name)}/table" for name in ("states", "monthly"))
+    schema, whole = _plain(month_states(daily).schema), _partitions(spark, _daily_path(lake), _plain(daily.schema))
+    states = month_states(stale_daily(whole, since, grain))
+    options = dict(keys=list(MONTH_KEYS), time_col="month_start", since=since, grain=grain)
+    replace_periods(spark, states_path, states, schema, **options)
+    states = read_table(spark, states_path, schema)
+    fresh = stale_daily(_partitions(spark, states_path, schema), since, grain)
+    monthly_schema = _plain(monthly_of_states(states).schema)
+    replace_periods(spark, monthly_path, monthly_of_states(fresh), monthly_schema, **options)
+    return states, read_table(spark, monthly_path, monthly_schema)
+
+
 def refresh_gold(
     spark: SparkSession, lake: Lake, run_id: str, as_of: datetime, changed: DataFrame | None = None,
     grain: str = "month",
 ) -> dict[str, DataFrame]:
-    """Refresh daily, monthly, weekday and KPI tables. The summaries read the stored daily table.
+    """Refresh daily, monthly, weekday and KPI tables.
 
     ``changed`` has the (symbol, day) pairs of silver that may have changed since the last refresh.
     The daily table is then recomputed from each symbol's first changed day on, and only its periods
     from the first of them are read and rewritten; without it, all of it is. The rows kept bear the
-    time of the refresh that computed them. The summaries are aggregates and are rebuilt.
+    time of the refresh that computed them. The states of the months and the monthly table follow for the
+    same periods; the KPI table reads the states and a few months of the daily table. Weekdays span the
+    whole history and are rebuilt. Until the states are stored, a mark beside the daily table
+    says from which day on they are behind it.
     """
     silver = read_table(spark, lake.silver, schemas.SILVER)
+    behind = f"{lake.gold('daily')}/behind"
+    marks = read_or_empty(spark, behind, T.StructType([T.StructField("since", T.DateType())])).collect()
+    incremental = changed is not None and exists(spark, f"{lake.gold('monthly')}/table")
+    first = _first_day(changed) if incremental else None
+    incremental = incremental and all(row["since"] is not None for row in marks)
+    since = min([row["since"] for row in marks] + [first] * (first is not None), default=None) if incremental else None
+    if since is not None or not incremental:
+        spark.createDataFrame([(since,)], "since date").coalesce(1).write.mode("append").parquet(behind)
+
+    def recorded(name: str, began: float, table: DataFrame, folder: str) -> DataFrame:
+        record_load(spark, lake.history, name, REBUILD_OPERATIONS[0],
+                    {OUTPUT_ROWS: table.count(), DURATION_MS: _milliseconds(began), LOCATION: folder})
+        return table
+
     began = time.monotonic()
-    built: dict[str, DataFrame] = {"daily": _refresh_daily(spark, lake, silver, as_of, changed, grain)}
-    record_load(
-        spark, lake.history, "daily", REBUILD_OPERATIONS[0],
-        {OUTPUT_ROWS: built["daily"].count(), DURATION_MS: _milliseconds(began), LOCATION: _daily_path(lake)})
-    recipes = {
-        "monthly": lambda: monthly_summary(built["daily"]),
-        "weekday": lambda: weekday_seasonality(built["daily"]),
-        "kpi": lambda: kpi_snapshot(built["daily"], silver, as_of),
-    }
-    for name in recipes:
+    daily = _refresh_daily(spark, lake, silver, as_of, changed, grain)
+    built = {"daily": recorded("daily", began, daily, _daily_path(lake))}
+    began = time.monotonic()
+    if since is not None or not incremental:
+        states, monthly = _refresh_months(spark, lake, daily, since, grain)
+        remove(spark, behind)
+    else:
+        states = month_states(daily)
+        states = read_table(spark, f"{lake.gold('states')}/table", _plain(states.schema))
+        monthly = read_table(spark, f"{lake.gold('monthly')}/table", _plain(monthly_of_states(states).schema))
+    built["monthly"] = recorded("monthly", began, monthly, f"{lake.gold('monthly')}/table")
+
+    def kpi() -> DataFrame:
+        refs = references(states)
+        stored = _partitions(spark, _daily_path(lake), _plain(daily.schema))
+        return kpi_of_states(states, recent_daily(stored, asked_months(refs), grain), silver, refs, as_of)
+
+    for name, recipe in (("weekday", lambda: weekday_seasonality(daily)), ("kpi", kpi)):
         began = time.monotonic()
-        folder = replace_table(recipes[name](), lake.gold(name), run_id)
-        built[name] = spark.read.parquet(folder)
-        record_load(
-            spark, lake.history, name, REBUILD_OPERATIONS[0],
-            {OUTPUT_ROWS: built[name].count(), DURATION_MS: _milliseconds(began), LOCATION: folder})
+        folder = replace_table(recipe(), lake.gold(name), run_id)
+        built[name] = recorded(name, began, spark.read.parquet(folder), folder)
     return built
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 from typing import Any
 
@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from wickline.operators.keys import names
 from wickline.operators.merge import SMALL_SOURCE_ROWS, merge_counts, merge_upsert_when
 from wickline.session import fits, staged
-from wickline.sources.landing import read_or_empty
+from wickline.sources.landing import read_or_empty, read_or_none
 
 # Folder names of the stored partitions.
 PART = "part"
@@ -108,16 +108,47 @@ def _pending(path: str) -> str:
     return f"{path}-pending"
 
 
-def _store(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> None:
-    """Replace the partitions of the table by the pending content, then forget that."""
+#: Makes one row per series and period (``PART``) of the rows of whole periods.
+Summary = Callable[[DataFrame], DataFrame]
+
+
+def _periods(path: str) -> str:
+    return f"{path}-periods"
+
+
+def _write_periods(rows: DataFrame, path: str, summary: Summary) -> None:
+    # Few rows: one per series and period. One file per period is enough.
+    summary(rows).repartition(PART).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(_periods(path))
+
+
+def read_periods(spark: SparkSession, path: str, schema: T.StructType, summary: Summary) -> DataFrame:
+    """The summary of every stored period: as the merges left it, or made from the table where none did."""
+    shape = summary(spark.createDataFrame([], _stored(schema))).schema
+    rows = read_or_none(spark, _periods(path), T.StructType([f for f in shape.fields]))
+    return summary(read_or_empty(spark, path, _stored(schema))) if rows is None else rows.select(*shape.fieldNames())
+
+
+def _store(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], summary: Summary | None = None
+) -> None:
+    """Replace the partitions of the table by the pending content, and the summaries of these periods; then
+    forget the pending content."""
     rows = spark.read.schema(_stored(schema)).parquet(_pending(path))
+    if summary is not None and not exists(spark, _periods(path)):
+        # Periods stored before there were summaries.
+        _write_periods(read_or_empty(spark, path, _stored(schema)), path, summary)
     # The range layout spreads a big period over many tasks and sorts it for skipping.
     cluster_layout(rows, [PART, *keys]).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+    if summary is not None:
+        _write_periods(rows, path, summary)
     remove(spark, _pending(path))
 
 
-def finish_merge(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> None:
+def finish_merge(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], summary: Summary | None = None
+) -> None:
     """Put right what a merge that died has left.
 
     Pending content with Spark's completion marker is stored: as there is one writer and every merge
@@ -125,7 +156,7 @@ def finish_merge(spark: SparkSession, path: str, schema: T.StructType, keys: Seq
     the table was not touched yet.
     """
     if exists(spark, f"{_pending(path)}/_SUCCESS"):
-        _store(spark, path, schema, keys)
+        _store(spark, path, schema, keys, summary)
     elif exists(spark, _pending(path)):
         remove(spark, _pending(path))
 
@@ -140,6 +171,7 @@ def merge_into(
     time_col: str,
     update_when: Column | None = None,
     grain: str = "month",
+    summary: Summary | None = None,
 ) -> dict[str, int]:
     """Upsert ``source`` (one row per key, no NULL keys) into the table at ``path``; counts.
 
@@ -148,9 +180,10 @@ def merge_into(
     whole to a pending folder beside the table; then it replaces those partitions. A job that dies
     in between is put right by the next merge (``finish_merge``). Every merge is computed against
     the table as it is, so repeating one, also an older one, gives what its rule says and never
-    brings old content back. One writer at a time.
+    brings old content back. One writer at a time. ``summary`` keeps one row per series and period
+    beside the table (``read_periods``), renewed for the touched periods under the same protocol.
     """
-    finish_merge(spark, path, schema, keys)
+    finish_merge(spark, path, schema, keys, summary)
     stored = _stored(schema)
     changed = T.StructType([*stored.fields, T.StructField("_change", T.StringType())])
     source = staged(_parted(conform(source, schema), time_col, grain), "source")
@@ -162,7 +195,7 @@ def merge_into(
     ).write.parquet(_pending(path))
     merged = spark.read.schema(changed).parquet(_pending(path))
     counts = merge_counts(merged).first().asDict()
-    _store(spark, path, schema, keys)
+    _store(spark, path, schema, keys, summary)
     return counts
 
 
@@ -184,9 +217,11 @@ def replace_periods(
     if since is not None:
         held = held.where(F.col(PART) >= F.date_trunc(grain, F.lit(since)).cast("date"))
     gone = [row[0] for row in held.collect() if row[0] not in present]
-    _store(spark, path, schema, keys)
+    # Emptied periods go first: a death before the content is stored leaves it pending, complete, and the
+    # next run stores it.
     for part in gone:
         remove(spark, f"{path}/{PART}={part}")
+    _store(spark, path, schema, keys)
 
 
 def rows_of_days(
