@@ -165,8 +165,7 @@ def test_late_updates_end_alike_in_any_order(spark, tmp_path, order):
         rows_ = bronze(spark, [VERSIONS[i], bronze_row(10 + n)])
         write_landing_confirmed(rows_.where("is_closed"), lake.landing)
         write_landing_open(rows_.where("NOT is_closed"), lake.landing)
-        loads.stream_late_updates(
-            spark, lake, checkpoint, "s", NOW, protect_closed=True).awaitTermination()
+        loads.stream_late_updates(spark, lake, checkpoint, "s", NOW).awaitTermination()
     got = rows(spark, lake)
     assert [(c, f) for _, _, c, f in got] == [(11.5, True)] + [(11.0, True)] * 3
 

@@ -127,9 +127,15 @@ def store_rejects(rejects: DataFrame, cleaned: DataFrame, as_of: datetime | None
     NULLs match each other. Different rows without a key are told apart by their payloads, so none
     of them is lost; the same row received again is stored once.
     """
-    keys = ["symbol", "open_time", "ingest_ts", "payload"]
-    once = dedup_latest(reject_rows(cleaned, as_of), keys, ["reason"])
-    return new_rows(rejects, once, keys)
+    return new_rejects(rejects, reject_rows(cleaned, as_of))
+
+
+def new_rejects(rejects: DataFrame, rows: DataFrame) -> DataFrame:
+    """``store_rejects`` of ready rows. Payloads are compared by their digests: the stored ones are never shuffled."""
+    keys = ["symbol", "open_time", "ingest_ts", "_digest"]
+    digest = F.sha2("payload", 256)
+    once = dedup_latest(rows.withColumn("_digest", digest), keys, ["reason"])
+    return new_rows(rejects.withColumn("_digest", digest), once, keys).drop("_digest")
 
 
 def load_check(bronze: DataFrame) -> DataFrame:

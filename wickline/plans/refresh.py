@@ -22,10 +22,10 @@ from wickline.operators.merge import (
     newer_or_closing_protected, split_null_keys,
 )
 from wickline.operators.keys import attach
-from wickline.operators.monitor import MERGE_OPERATION, REBUILD_OPERATIONS, SILVER_TABLE
+from wickline.operators.monitor import GOLD_TABLES, MERGE_OPERATION, REBUILD_OPERATIONS, SILVER_TABLE
 from wickline.operators.quality import (
     check_of_periods, clean_candles, clean_symbol, completeness_of_masks, day_masks, latest_versions,
-    missing_of_masks, quality_reason, silver_rows, split_valid_rejected, store_rejects, typed_candles,
+    missing_of_masks, new_rejects, quality_reason, reject_rows, silver_rows, split_valid_rejected, typed_candles,
 )
 from wickline.operators.states import (
     MONTH_KEYS, asked_months, kpi_of_states, month_states, monthly_of_states, references,
@@ -38,11 +38,16 @@ from wickline.sources.landing import (
     read_or_empty, write_landing_confirmed, write_landing_open,
 )
 from wickline.sources.tables import (
-    PART, exists, finish_merge, merge_into, read_periods, read_table, remove, replace_periods, replace_table,
+    PART, create_schema, exists, finish_merge, merge_into, read_periods, read_table, remove, replace_periods, replace_table,
     rows_of_days,
 )
 
 
+# Total order of the valid versions of a day; the columns that are no part of a version's value.
+SILVER_ORDER = ("is_closed", "ingest_ts", "open_time")
+SILVER_STAMPS = ("symbol", "day", "transformed_at")
+
+
 def _milliseconds(since: float) -> int:
     return int((time.monotonic() - since) * 1000)
 
@@ -143,20 +148,33 @@ def refresh_bronze(
 
 
 def _append_rejects(spark: SparkSession, lake: Lake, cleaned: DataFrame, as_of: datetime) -> None:
-    _, rejected = split_valid_rejected(cleaned)
-    if rejected.isEmpty():
+    if split_valid_rejected(cleaned)[1].isEmpty():
         return
-    stored = read_or_empty(spark, lake.rejects, schemas.REJECT)
+    rejected = staged(reject_rows(cleaned, as_of).withColumn(PART, _reject_period()), "rejected")
+    # Calendar months of one load's rejects; rows without an open time have a partition of their own.
+    parts = [row[0] for row in rejected.select(PART).distinct().collect()]
+    kept = F.col(PART).isin([p for p in parts if p is not None])
+    kept = (kept | F.col(PART).isNull()) if None in parts else kept
+    stored = _partitions(spark, lake.rejects, schemas.REJECT).where(kept)
     # Staged: the rejects folder cannot be read and appended to in one plan.
-    staged(store_rejects(stored, rejected, as_of), "rejects").write.mode("append").parquet(lake.rejects)
+    new = staged(new_rejects(stored.drop(PART), rejected.drop(PART)), "rejects")
+    new.withColumn(PART, _reject_period()).write.mode("append").partitionBy(PART).parquet(lake.rejects)
+
+
+def _reject_period() -> Column:
+    return F.trunc("open_time", "month")
 
 
 def refresh_silver(
     spark: SparkSession, lake: Lake, run_id: str, as_of: datetime,
-    changed: DataFrame | None = None, protect_closed: bool = False, grain: str = "month",
+    changed: DataFrame | None = None, protect_closed: bool = False, grain: str = "month", any_order: bool = False,
 ) -> dict[str, int]:
     """Clean bronze rows, store the rejected ones, merge the valid ones.
 
+    ``any_order``: the loads may bring versions of a candle in any order and grouping. Every version is then
+    judged for itself, and the greatest valid one by a total order (closed, ingest time, open time, values)
+    stays, whatever was stored before; the table is the state of the comparison.
+
     ``changed`` limits the work to the bronze rows of one load; by default all of bronze is
     cleaned again, which gives the same table. The cleaned rows are staged once, so rejects and
     merge see the same input.
@@ -164,10 +182,12 @@ def refresh_silver(
     began = time.monotonic()
     bronze = read_table(spark, lake.bronze, schemas.BRONZE) if changed is None else changed
     # Staged as received: the JSON payload is built on the rejected rows only.
-    winners = staged(latest_versions(bronze), "winners")
+    winners = staged(bronze if any_order else latest_versions(bronze), "winners")
     cleaned = quality_reason(typed_candles(winners))
     _append_rejects(spark, lake, cleaned, as_of)
     rule = newer_or_closing_protected() if protect_closed else newer_or_closing()
+    if any_order:
+        rule = later_version(SILVER_ORDER, [c for c in schemas.SILVER.fieldNames() if c not in SILVER_STAMPS])
     counts = merge_into(
         spark, lake.silver, silver_rows(cleaned, as_of), schemas.SILVER,
         keys=["symbol", "day"], time_col="day", update_when=rule, grain=grain, summary=silver_periods)
@@ -272,7 +292,7 @@ def _refresh_months(
 
 def refresh_gold(
     spark: SparkSession, lake: Lake, run_id: str, as_of: datetime, changed: DataFrame | None = None,
-    grain: str = "month",
+    grain: str = "month", views: str | None = None,
 ) -> dict[str, DataFrame]:
     """Refresh daily, monthly, weekday and KPI tables.
 
@@ -281,7 +301,8 @@ def refresh_gold(
     from the first of them are read and rewritten; without it, all of it is. The rows kept bear the
     time of the refresh that computed them. The states of the months and the monthly table follow for the
     same periods; the KPI table reads the states and a few months of the daily table. Weekdays span the
-    whole history and are rebuilt. Until the states are stored, a mark beside the daily table
+    whole history and are rebuilt. ``views`` names a schema of the catalog whose views of the tables are made
+    to show this refresh. Until the states are stored, a mark beside the daily table
     says from which day on they are behind it.
     """
     silver = read_table(spark, lake.silver, schemas.SILVER)
@@ -321,9 +342,27 @@ def refresh_gold(
         began = time.monotonic()
         folder = replace_table(recipe(), lake.gold(name), run_id)
         built[name] = recorded(name, began, spark.read.parquet(folder), folder)
+    if views is not None:
+        publish_tables(spark, lake, views)
     return built
 
 
+def publish_tables(spark: SparkSession, lake: Lake, schema: str) -> None:
+    """Create or replace the catalog's views of the stored tables. Unlike a session's they outlive it, as long
+    as the catalog does; a refresh that is given the schema points them to what it built."""
+    create_schema(spark, schema, "views of the stored candles")
+    folders = {"bronze": (lake.bronze, schemas.BRONZE.fieldNames()), "silver": (lake.silver, schemas.SILVER.fieldNames()),
+               "load_history": (lake.history, schemas.LOAD_HISTORY.fieldNames())}
+    for name in GOLD_TABLES:
+        folder = current_location(spark, lake.history, name)
+        if folder is not None:
+            folders[f"gold_{name}"] = (folder, spark.read.parquet(folder).drop(PART).columns)
+    for name, (folder, columns) in folders.items():
+        if exists(spark, folder):
+            listed = ", ".join(f"`{c}`" for c in columns)
+            spark.sql(f"CREATE OR REPLACE VIEW {schema}.{name} AS SELECT {listed} FROM parquet.`{folder}`")
+
+
 def read_gold(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     folder = current_location(spark, lake.history, table)
     if folder is None:

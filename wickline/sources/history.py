@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickline import schemas
+from wickline.session import staged
 from wickline.sources.landing import read_or_empty
+from wickline.sources.tables import exists, remove
 
 LOCATION = "location"
 
@@ -49,3 +51,35 @@ def current_location(spark: SparkSession, path: str, table: str) -> str | None:
     latest = _read(spark, path).where(F.col("for_table") == table).agg(
         F.max_by(F.col("metrics")[LOCATION], "executed_at").alias("location"))
     return latest.first()["location"]
+
+
+def _pending(path: str) -> str:
+    return f"{path}-compaction"
+
+
+def _swap(spark: SparkSession, path: str) -> None:
+    _read(spark, _pending(path)).repartition("for_table", MONTH).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("for_table", MONTH).parquet(path)
+    remove(spark, _pending(path))
+
+
+def compact_history(spark: SparkSession, path: str, before: date) -> int:
+    """Rewrite the months before the one of ``before`` that have several files as one file a table and month.
+
+    Loads are recorded when they happen, so no row is added to such a month any more. The content is written
+    whole to a pending folder first; a run that dies is put right by the next. Returns the partitions rewritten.
+    """
+    if exists(spark, f"{_pending(path)}/_SUCCESS"):
+        _swap(spark, path)
+    elif exists(spark, _pending(path)):
+        remove(spark, _pending(path))
+    closed = _read(spark, path).where(F.col(MONTH) < F.lit(f"{before:%Y-%m}"))
+    parts = ["for_table", MONTH]
+    files = closed.select(*parts, F.input_file_name().alias("file")).distinct().groupBy(*parts).count()
+    scattered = staged(files.where("count > 1").select(*parts), "scattered")
+    rewritten = scattered.count()
+    if rewritten:
+        rows = closed.join(scattered, parts, "left_semi")
+        rows.repartition(*parts).write.partitionBy(*parts).parquet(_pending(path))
+        _swap(spark, path)
+    return rewritten

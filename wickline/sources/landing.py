@@ -52,7 +52,8 @@ def write_landing_open(df: DataFrame, path: str) -> None:
     new = staged(_landed(df, OPEN), "open")
     dates = [row[0] for row in new.select("ingest_date").distinct().collect()]
     stored = read_or_empty(df.sparkSession, path, schemas.LANDING).where(
-        (F.col("track") == OPEN) & F.col("ingest_date").isin(dates))
+        (F.col("track") == OPEN) & (F.col("ingest_date").isin([d for d in dates if d is not None])
+                                    | (F.col("ingest_date").isNull() & F.lit(None in dates))))
     others = join_null_safe(
         stored, new.select("symbol_raw", "ingest_date").distinct(), ["symbol_raw", "ingest_date"], "left_anti")
     # Staged: the folder cannot be read and overwritten in one plan.

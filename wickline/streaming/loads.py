@@ -54,14 +54,14 @@ def stream_landing_to_bronze(
 
 def stream_late_updates(
     spark: SparkSession, lake: Lake, checkpoint: str, name: str, as_of: datetime,
-    files_per_batch: int = 1000, protect_closed: bool = False,
+    files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Carry landed versions of candles straight to silver; a closed row wins however late it comes."""
+    """Carry landed versions of candles straight to silver. The table does not depend on the order or grouping
+    of the files: of all valid versions of a day the greatest by a total order stays, a closed one first."""
     return _run(
         _landed(spark, lake, files_per_batch), checkpoint, name,
         lambda df, run: refresh_silver(
-            df.sparkSession, lake, run, as_of,
-            df.select(*schemas.BRONZE.fieldNames()), protect_closed))
+            df.sparkSession, lake, run, as_of, df.select(*schemas.BRONZE.fieldNames()), any_order=True))
 
 
 def stream_bronze_to_gold(
