@@ -57,13 +57,17 @@ typed AS (
          strptime(ingest_ts_utc, '%Y-%m-%dT%H:%M:%S+00:00') AS ingest_ts
   FROM bronze)"""
 
-REASON = """CASE
-         WHEN symbol IS NULL OR open_time IS NULL THEN 'null key'
-         WHEN open <= 0 OR close <= 0 OR high <= 0 OR low <= 0 THEN 'non-positive price'
-         WHEN high < greatest(open, close) THEN 'high below open/close'
-         WHEN low > least(open, close) THEN 'low above open/close'
-         WHEN volume < 0 OR num_trades < 0 THEN 'negative volume or trades'
-         WHEN close_time <= open_time THEN 'close before open time' END"""
+# What each rule forbids, in the rules' order; a NULL operand forbids nothing.
+_FORBIDDEN = {
+    "null key": "NOT (symbol IS NOT NULL AND open_time IS NOT NULL)",
+    "non-positive price": "least(open, high, low, close) <= 0",
+    "high below open/close": "high < open OR high < close",
+    "low above open/close": "low > open OR low > close",
+    "negative volume or trades": "volume < 0 OR num_trades < 0",
+    "close before open time": "date_diff('microsecond', open_time, close_time) <= 0",
+}
+_JUDGED = ", ".join(f"{{'reason': '{name}', 'broken': {test}}}" for name, test in _FORBIDDEN.items())
+REASON = f"list_filter([{_JUDGED}], lambda r: r.broken)[1].reason"
 
 CLEANED = f"""
 latest AS (
