@@ -245,7 +245,8 @@ def graphs(nodes: DataFrame, shards: int, width: int, links: int = LINKS, build_
             "links": [[layer.astype(np.int32).tobytes() for layer in graph.links]]})
 
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int"))
-    return staged(dealt.groupBy("shard").applyInArrow(build, _GRAPH), "graphs")
+    # Building costs far more than its bytes tell: every shard is a task of its own, however small it is.
+    return staged(dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(build, _GRAPH), "graphs")
 
 
 def nearest(
