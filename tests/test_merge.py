@@ -1,3 +1,5 @@
+import uuid
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -183,3 +185,115 @@ def test_repeated_target_keys_insert_nothing_new(spark):
     target = bronze(spark, [bronze_row(0)] * 5)
     merged = M.merge_upsert(target, bronze(spark, [bronze_row(0), bronze_row(1)]), BRONZE_KEYS, True)
     assert merged.where("_change = 'inserted'").count() == 1
+
+
+def _rule():
+    return M.later_version(BRONZE_ORDER, schemas.BRONZE.fieldNames())
+
+
+def _bucketed(spark, path, name, rows):
+    return merge_into(spark, path, bronze(spark, rows), schemas.BRONZE, keys=BRONZE_KEYS, time_col="open_time",
+                      update_when=_rule(), table=name)
+
+
+@pytest.fixture
+def buckets(spark, tmp_path):
+    """(path, name) of a bucketed table of four buckets."""
+    path = str(tmp_path / "table")
+    name = "b_" + uuid.uuid4().hex
+    yield path, T.declare_buckets(spark, name, path, schemas.BRONZE, BRONZE_KEYS, 4)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@pytest.mark.parametrize("shuffle_partitions", [3, 64])
+def test_a_merge_into_buckets_leaves_the_target_where_it_is(spark, buckets, shuffle_partitions):
+    """One exchange, which is the source's."""
+    path, name = buckets
+    _bucketed(spark, path, name, [bronze_row(d) for d in range(60)])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    try:
+        source = T._parted(bronze(spark, [bronze_row(d, close=11.5, ingest=at(200)) for d in range(50, 70)]),
+                           "open_time", "month")
+        target = spark.table(name)
+        merged = T.merge_in_buckets(target, source, BRONZE_KEYS, _rule())
+        shown = merged._jdf.queryExecution().executedPlan().toString()
+        exchanges = [x for x in shown.splitlines() if "Exchange" in x]
+        assert len(exchanges) == 1 and "hashpartitioning" in exchanges[0] and ", 4)" in exchanges[0], shown
+        assert "Bucketed: true" in shown and "SelectedBucketsCount: 4 out of 4" in shown, shown
+        # The branch of the stored rows ends in the scan without an exchange above it.
+        scan = next(i for i, x in enumerate(shown.splitlines()) if "FileScan" in x)
+        exchange = next(i for i, x in enumerate(shown.splitlines()) if "Exchange" in x)
+        assert scan < exchange, shown
+        assert {r._change: r["count"] for r in merged.groupBy("_change").count().collect()} == {
+            "unchanged": 50, "updated": 10, "inserted": 10}
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=versions, cut=st.integers(0, 8))
+def test_buckets_do_not_depend_on_arrival(spark, tmp_path_factory, rows, cut):
+    made = [bronze_row(day=40 * d, closed=c, ingest=at(200, i), close=10.0 + i / 8) for d, c, i in rows]
+    path, name = str(tmp_path_factory.mktemp("t") / "table"), "b_" + uuid.uuid4().hex
+    T.declare_buckets(spark, name, path, schemas.BRONZE, BRONZE_KEYS, 3)
+    for part in (made[cut:], made[:cut], made[cut:]):
+        source = M.dedup_latest(bronze(spark, part), BRONZE_KEYS, BRONZE_ORDER)
+        merge_into(spark, path, source, schemas.BRONZE, keys=BRONZE_KEYS, time_col="open_time",
+                   update_when=_rule(), table=name)
+    wanted = M.dedup_latest(bronze(spark, made), BRONZE_KEYS, BRONZE_ORDER)
+    named = spark.table(name).drop("part")
+    for stored in (read_table(spark, path, schemas.BRONZE), named):
+        assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, wanted.collect()))
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_only_touched_periods_of_buckets_are_rewritten(spark, buckets, tmp_path):
+    path, name = buckets
+    _bucketed(spark, path, name, [bronze_row(0), bronze_row(40)])
+    january = tmp_path / "table" / "part=2024-01-01"
+    before = {f.name for f in january.iterdir()}
+    counts = _bucketed(spark, path, name, [bronze_row(41)])
+    assert counts[M.INSERTED] == 1 and counts[M.OUTPUT_ROWS] == 2
+    assert {f.name for f in january.iterdir()} == before
+    assert read_table(spark, path, schemas.BRONZE).count() == 3
+    # A bucket of a period stays one file, however often it is merged.
+    _bucketed(spark, path, name, [bronze_row(d) for d in range(60)])
+    for month in (tmp_path / "table").glob("part=*"):
+        assert 1 <= len(list(month.glob("*.parquet"))) <= 4
+
+
+def test_a_died_merge_into_buckets_is_finished_by_the_next(spark, buckets, tmp_path, monkeypatch):
+    path, name = buckets
+    _bucketed(spark, path, name, [bronze_row(0), bronze_row(1)])
+
+    def dies(*_args):
+        for file in (tmp_path / "table").rglob("*.parquet"):
+            file.unlink()
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(T, "_store", dies)
+        with pytest.raises(RuntimeError):
+            _bucketed(spark, path, name, [bronze_row(2)])
+    _bucketed(spark, path, name, [bronze_row(3)])
+    assert _days(spark, path) == [1, 2, 3, 4]
+
+
+def test_buckets_are_found_again_by_a_new_catalog_entry(spark, buckets):
+    path, name = buckets
+    _bucketed(spark, path, name, [bronze_row(0), bronze_row(40)])
+    spark.sql(f"DROP TABLE {name}")
+    T.declare_buckets(spark, name, path, schemas.BRONZE, BRONZE_KEYS, 4)
+    assert spark.table(name).count() == 2
+    counts = _bucketed(spark, path, name, [bronze_row(40, close=11.5, ingest=at(300)), bronze_row(41)])
+    assert (counts[M.INSERTED], counts[M.UPDATED]) == (1, 1)
+    assert sorted(r.close for r in read_table(spark, path, schemas.BRONZE).collect()) == [11.0, 11.0, 11.5]
+
+
+def test_empty_source_into_buckets(spark, buckets):
+    path, name = buckets
+    _bucketed(spark, path, name, [bronze_row(0)])
+    assert _bucketed(spark, path, name, [])[M.OUTPUT_ROWS] == 0
+    assert _days(spark, path) == [1]

@@ -7,7 +7,12 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Lake:
+    """``catalog`` names a schema of the catalog: bronze and silver are then bucketed tables there (``buckets``
+    of every period), whose stored rows the merges do not shuffle. To be decided before the first load."""
+
     root: str
+    catalog: str | None = None
+    buckets: int = 64
 
     @property
     def landing(self) -> str:

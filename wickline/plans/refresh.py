@@ -38,11 +38,12 @@ from wickline.sources.landing import (
     read_or_empty, write_landing_confirmed, write_landing_open,
 )
 from wickline.sources.tables import (
-    PART, create_schema, exists, finish_merge, merge_into, read_periods, read_table, remove, replace_periods, replace_table,
-    rows_of_days,
+    PART, create_schema, declare_buckets, exists, finish_merge, merge_into, read_periods, read_table, remove,
+    replace_periods, replace_table, rows_of_days,
 )
 
 
+SILVER_KEYS = ["symbol", "day"]
 # Total order of the valid versions of a day; the columns that are no part of a version's value.
 SILVER_ORDER = ("is_closed", "ingest_ts", "open_time")
 SILVER_STAMPS = ("symbol", "day", "transformed_at")
@@ -60,6 +61,16 @@ def silver_periods(rows: DataFrame) -> DataFrame:
     return day_masks(rows, "symbol", PART)
 
 
+def _bucketed(
+    spark: SparkSession, lake: Lake, name: str, path: str, schema: T.StructType, keys: list[str]
+) -> str | None:
+    """The catalog's bucketed table over ``path``, if the lake has such tables."""
+    if lake.catalog is None:
+        return None
+    create_schema(spark, lake.catalog, "stored candles")
+    return declare_buckets(spark, f"{lake.catalog}.stored_{name}", path, schema, keys, lake.buckets)
+
+
 def land(
     spark: SparkSession, lake: Lake, src: DataFrame, as_of: datetime, interval: str = "1d", new_series: bool = True
 ) -> None:
@@ -140,7 +151,8 @@ def refresh_bronze(
     counts = merge_into(
         spark, lake.bronze, dedup_latest(keyed, BRONZE_KEYS, BRONZE_ORDER), schemas.BRONZE,
         keys=BRONZE_KEYS, time_col="open_time", grain=grain,
-        update_when=later_version(BRONZE_ORDER, schemas.BRONZE.fieldNames()), summary=bronze_periods)
+        update_when=later_version(BRONZE_ORDER, schemas.BRONZE.fieldNames()), summary=bronze_periods,
+        table=_bucketed(spark, lake, "bronze", lake.bronze, schemas.BRONZE, list(BRONZE_KEYS)))
     _record_check(check_bronze(spark, lake), lake, "bronze", run_id, as_of)
     record_load(spark, lake.history, "bronze", MERGE_OPERATION,
                 {**counts, DURATION_MS: _milliseconds(began)})
@@ -190,7 +202,8 @@ def refresh_silver(
         rule = later_version(SILVER_ORDER, [c for c in schemas.SILVER.fieldNames() if c not in SILVER_STAMPS])
     counts = merge_into(
         spark, lake.silver, silver_rows(cleaned, as_of), schemas.SILVER,
-        keys=["symbol", "day"], time_col="day", update_when=rule, grain=grain, summary=silver_periods)
+        keys=SILVER_KEYS, time_col="day", update_when=rule, grain=grain, summary=silver_periods,
+        table=_bucketed(spark, lake, "silver", lake.silver, schemas.SILVER, SILVER_KEYS))
     _check_silver(spark, lake, run_id, as_of)
     record_load(spark, lake.history, SILVER_TABLE, MERGE_OPERATION,
                 {**counts, DURATION_MS: _milliseconds(began)})

@@ -265,6 +265,24 @@ def merge_rerun(spark, folder):
     return tables.read_table(spark, path, schemas.BRONZE)
 
 
+@query("merge_into_buckets", S.select(_EXCHANGE, f"SELECT {_BRONZE_COLUMNS} FROM best"))
+def merge_into_buckets(spark, folder):
+    """The same three loads into a bucketed table, whose stored rows are not shuffled."""
+    bronze = staged(market.bronze_candles(spark, folder))
+    path = fresh_folder(spark, "table")
+    table = "wickline_" + path.rsplit("-", 1)[1]
+    tables.declare_buckets(spark, table, path, schemas.BRONZE, ingest.BRONZE_KEYS, buckets=8)
+    rule = merge.later_version(ingest.BRONZE_ORDER, schemas.BRONZE.fieldNames())
+    running, closed = bronze.where(~F.col("is_closed")), bronze.where("is_closed")
+    for rows in (running, closed, running):
+        tables.merge_into(
+            spark, path, rows, schemas.BRONZE, keys=ingest.BRONZE_KEYS, time_col="open_time",
+            update_when=rule, grain="year", table=table)
+    # Only the name goes; the files stay, as those of every staged table do.
+    spark.sql(f"DROP TABLE {table}")
+    return tables.read_table(spark, path, schemas.BRONZE)
+
+
 @query("append_new_only", """
 SELECT o_orderkey AS k, o_custkey AS c, o_totalprice AS price FROM orders
 UNION ALL

@@ -76,6 +76,41 @@ def insert_literals(target: DataFrame, rows: Sequence[tuple[Any, ...]]) -> DataF
     return target.unionByName(literal_table(target.sparkSession, rows, target.schema))
 
 
+def declare_buckets(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, keys: Sequence[str], buckets: int
+) -> str:
+    """Create a catalog table over ``path`` unless it exists, for merges that leave the stored rows in place;
+    return its name.
+
+    It is partitioned by ``PART`` and bucketed by ``keys``, so a merge on the keys reads a bucket of the
+    touched periods in one task and needs no exchange of stored rows. The number of buckets stays as first
+    declared; choose it so that a bucket of a period is a file of some 100 MB. Files that are there already
+    must have been written through a table of the same declaration.
+    """
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _stored(schema))
+        clustered = ", ".join(f"`{k}`" for k in keys)
+        spark.sql(f"""CREATE TABLE {name} ({columns}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic')
+            PARTITIONED BY ({PART}) CLUSTERED BY ({clustered}) SORTED BY ({clustered}) INTO {buckets} BUCKETS
+            LOCATION '{path}'""")
+        if exists(spark, path):
+            # Partitions that an earlier catalog knew.
+            spark.catalog.recoverPartitions(name)
+    return name
+
+
+def merge_in_buckets(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], update_when: Column | None = None
+) -> DataFrame:
+    """``merge_upsert_when`` of a bucketed ``target`` (``declare_buckets``): the source alone is dealt out, into
+    the target's buckets, and each task merges one bucket.
+
+    The join is on the keys alone: they determine the period, and only a join on just the bucketed columns
+    takes the buckets as they are.
+    """
+    return merge_upsert_when(target, source, keys, update_when, small_source=False)
+
+
 def _parted(df: DataFrame, time_col: str, grain: str) -> DataFrame:
     return df.withColumn(PART, F.to_date(F.date_trunc(grain, time_col)))
 
@@ -130,7 +165,8 @@ def read_periods(spark: SparkSession, path: str, schema: T.StructType, summary:
 
 
 def _store(
-    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], summary: Summary | None = None
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], summary: Summary | None = None,
+    table: str | None = None,
 ) -> None:
     """Replace the partitions of the table by the pending content, and the summaries of these periods; then
     forget the pending content."""
@@ -138,16 +174,21 @@ def _store(
     if summary is not None and not exists(spark, _periods(path)):
         # Periods stored before there were summaries.
         _write_periods(read_or_empty(spark, path, _stored(schema)), path, summary)
-    # The range layout spreads a big period over many tasks and sorts it for skipping.
-    cluster_layout(rows, [PART, *keys]).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+    if table is not None:
+        # A pending file holds one bucket; it is written as it is read, sorted within the task.
+        rows.write.insertInto(table, overwrite=True)
+    else:
+        # The range layout spreads a big period over many tasks and sorts it for skipping.
+        cluster_layout(rows, [PART, *keys]).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
     if summary is not None:
         _write_periods(rows, path, summary)
     remove(spark, _pending(path))
 
 
 def finish_merge(
-    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], summary: Summary | None = None
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], summary: Summary | None = None,
+    table: str | None = None,
 ) -> None:
     """Put right what a merge that died has left.
 
@@ -156,7 +197,7 @@ def finish_merge(
     the table was not touched yet.
     """
     if exists(spark, f"{_pending(path)}/_SUCCESS"):
-        _store(spark, path, schema, keys, summary)
+        _store(spark, path, schema, keys, summary, table)
     elif exists(spark, _pending(path)):
         remove(spark, _pending(path))
 
@@ -172,6 +213,7 @@ def merge_into(
     update_when: Column | None = None,
     grain: str = "month",
     summary: Summary | None = None,
+    table: str | None = None,
 ) -> dict[str, int]:
     """Upsert ``source`` (one row per key, no NULL keys) into the table at ``path``; counts.
 
@@ -182,20 +224,27 @@ def merge_into(
     the table as it is, so repeating one, also an older one, gives what its rule says and never
     brings old content back. One writer at a time. ``summary`` keeps one row per series and period
     beside the table (``read_periods``), renewed for the touched periods under the same protocol.
+    ``table`` names a bucketed table over ``path`` (``declare_buckets``, bucketed by ``keys``); stored rows are
+    then neither shuffled by the merge nor laid out anew.
     """
-    finish_merge(spark, path, schema, keys, summary)
+    finish_merge(spark, path, schema, keys, summary, table)
     stored = _stored(schema)
     changed = T.StructType([*stored.fields, T.StructField("_change", T.StringType())])
     source = staged(_parted(conform(source, schema), time_col, grain), "source")
     # One value per calendar period of the source: small whatever the number of rows.
     parts = [row[0] for row in source.select(PART).distinct().collect()]
-    target = read_or_empty(spark, path, stored).where(F.col(PART).isin(parts))
-    merge_upsert_when(
-        target, source, [*keys, PART], update_when, fits(source, SMALL_SOURCE_ROWS)
-    ).write.parquet(_pending(path))
+    if table is not None:
+        # Another session may have changed the files since this one listed them.
+        spark.catalog.refreshTable(table)
+        held = spark.table(table).where(F.col(PART).isin(parts))
+        merged = merge_in_buckets(held, source, keys, update_when)
+    else:
+        held = read_or_empty(spark, path, stored).where(F.col(PART).isin(parts))
+        merged = merge_upsert_when(held, source, [*keys, PART], update_when, fits(source, SMALL_SOURCE_ROWS))
+    merged.write.parquet(_pending(path))
     merged = spark.read.schema(changed).parquet(_pending(path))
     counts = merge_counts(merged).first().asDict()
-    _store(spark, path, schema, keys, summary)
+    _store(spark, path, schema, keys, summary, table)
     return counts
 
 
