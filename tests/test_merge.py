@@ -9,6 +9,7 @@ from build import at, bronze, bronze_row, column, silver
 from wickline import schemas
 from wickline.operators import merge as M
 from wickline.operators.ingest import BRONZE_KEYS, BRONZE_ORDER
+from wickline.session import fits
 from wickline.sources import tables as T
 from wickline.sources.tables import merge_into, read_table
 
@@ -292,6 +293,15 @@ def test_buckets_are_found_again_by_a_new_catalog_entry(spark, buckets):
     assert sorted(r.close for r in read_table(spark, path, schemas.BRONZE).collect()) == [11.0, 11.0, 11.5]
 
 
+def test_a_source_is_small_by_rows_and_by_bytes(spark):
+    """Few but wide rows are not broadcast; a column of any type counts."""
+    few = spark.range(100).withColumn("payload", F.repeat(F.lit("x"), 10_000))
+    assert fits(few, 100, 2 << 20) and not fits(few, 99, 2 << 20) and not fits(few, 100, 1_000_000)
+    nested = spark.range(100).select(F.array_repeat("id", 5_000).alias("a.b"), F.lit(None).alias("none"))
+    assert not fits(nested, 1000, 1 << 20) and fits(nested, 1000, 64 << 20)
+    assert fits(few.limit(0), 0, 0)
+
+
 def test_empty_source_into_buckets(spark, buckets):
     path, name = buckets
     _bucketed(spark, path, name, [bronze_row(0)])

@@ -56,6 +56,21 @@ def test_three_refreshes(spark, tmp_path):
     assert ("silver", "MERGE") in operations and ("kpi", "CREATE OR REPLACE TABLE AS SELECT") in operations
 
 
+def test_a_lake_of_buckets(spark, tmp_path):
+    """Bronze and silver as bucketed tables of the catalog: the same rows, by path and by name."""
+    lake = Lake(str(tmp_path), "lake_of_buckets", 4)
+    try:
+        for run, day in (("1", 1), ("2", 2)):
+            landed = bronze(spark, [bronze_row(d, close=10.0 + d / 20, closed=d < day) for d in (0, 1, 40)])
+            R.refresh_bronze(spark, lake, landed, run, NOW)
+            counts = R.refresh_silver(spark, lake, run, NOW)
+        assert (counts[INSERTED], counts[UPDATED]) == (0, 1)
+        assert [(float(r.close), r.is_closed) for r in spark.table("lake_of_buckets.stored_silver").orderBy(
+            "day").collect()] == [r[2:] for r in rows(spark, lake)] == [(10.0, True), (10.05, True), (12.0, False)]
+    finally:
+        spark.sql("DROP SCHEMA IF EXISTS lake_of_buckets CASCADE")
+
+
 def test_land_writes_both_tracks(spark, tmp_path):
     lake = Lake(str(tmp_path))
     src = bronze(spark, [bronze_row(d) for d in range(4)])

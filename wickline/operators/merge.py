@@ -15,8 +15,9 @@ from wickline.session import fits, staged
 INSERTED, UPDATED, DELETED = "numTargetRowsInserted", "numTargetRowsUpdated", "numTargetRowsDeleted"
 OUTPUT_ROWS, DURATION_MS = "numOutputRows", "executionTimeMs"
 
-# A source of at most this many rows may be broadcast into a merge.
+# A source of at most this many rows and bytes may be broadcast into a merge.
 SMALL_SOURCE_ROWS = 200_000
+SMALL_SOURCE_BYTES = 64 << 20
 
 
 def dedup_latest(df: DataFrame, keys: str | Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -58,7 +59,7 @@ def merge_upsert_when(
     """
     keys = names(keys)
     if small_source is None:
-        small_source = fits(source, SMALL_SOURCE_ROWS)
+        small_source = fits(source, SMALL_SOURCE_ROWS, SMALL_SOURCE_BYTES)
     columns = target.columns
     source = source.select(*columns)
     update = F.lit(True) if update_when is None else F.coalesce(update_when, F.lit(False))

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.ansi.enabled": "true",
@@ -60,6 +64,30 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    """True when ``df`` has at most ``rows`` rows (a pre-aggregated count, cheap on staged tables)."""
-    return df.count() <= rows
+#: Bytes of a fixed-width value, and what a value of another type has besides its characters.
+_VALUE_BYTES = 16
+
+
+def _width(df: DataFrame) -> Column:
+    """Upper estimate of the bytes of a row in memory: text and binary by their length, nested values by their
+    JSON, whose numbers may be as short as one digit."""
+    widths: list[Column] = []
+    for f in df.schema.fields:
+        value = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            widths.append(F.coalesce(F.octet_length(value), F.lit(0)) + _VALUE_BYTES)
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            json = F.octet_length(F.to_json(F.struct(value)))
+            widths.append(F.coalesce(json, F.lit(0)) * _VALUE_BYTES + _VALUE_BYTES)
+        else:
+            widths.append(F.lit(_VALUE_BYTES))
+    return reduce(add, widths, F.lit(_VALUE_BYTES)).cast("bigint")
+
+
+def fits(df: DataFrame, rows: int, size: int) -> bool:
+    """True when ``df`` has at most ``rows`` rows and ``size`` bytes (pre-aggregated, cheap on staged tables).
+
+    Both are counted over all rows, so wide rows are not broadcast for being few.
+    """
+    counted, held = df.agg(F.count("*"), F.coalesce(F.sum(_width(df)), F.lit(0))).first()
+    return counted <= rows and held <= size

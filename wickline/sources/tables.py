@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickline.operators.keys import names
-from wickline.operators.merge import SMALL_SOURCE_ROWS, merge_counts, merge_upsert_when
+from wickline.operators.merge import SMALL_SOURCE_BYTES, SMALL_SOURCE_ROWS, merge_counts, merge_upsert_when
 from wickline.session import fits, staged
 from wickline.sources.landing import read_or_empty, read_or_none
 
@@ -240,7 +240,8 @@ def merge_into(
         merged = merge_in_buckets(held, source, keys, update_when)
     else:
         held = read_or_empty(spark, path, stored).where(F.col(PART).isin(parts))
-        merged = merge_upsert_when(held, source, [*keys, PART], update_when, fits(source, SMALL_SOURCE_ROWS))
+        small = fits(source, SMALL_SOURCE_ROWS, SMALL_SOURCE_BYTES)
+        merged = merge_upsert_when(held, source, [*keys, PART], update_when, small)
     merged.write.parquet(_pending(path))
     merged = spark.read.schema(changed).parquet(_pending(path))
     counts = merge_counts(merged).first().asDict()
