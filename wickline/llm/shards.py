@@ -40,7 +40,8 @@ def jump(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def jump_shard(key: Column, shards: int) -> Column:
-    """Column form of ``jump``. A NULL key goes where key 0 goes, so it too has one stable place."""
+    """Column form of ``jump``. A NULL key goes where key 0 goes, so it too has one stable place. A key is an
+    integer or text of one; under ANSI casts other text raises an error."""
 
     @F.pandas_udf("int")
     def place(keys: pd.Series) -> pd.Series:
